@@ -60,14 +60,12 @@ def day_start(ts: Column) -> Column:
 
 def plus_minutes(ts: Column, minutes: Column) -> Column:
     """Naive stamp plus a whole number of minutes."""
-    zero = F.lit(0)
-    return ts + F.make_dt_interval(zero, zero, minutes.cast("int"), F.lit(0).cast("decimal(18,6)"))
+    return ts + F.expr("INTERVAL '1' MINUTE") * minutes
 
 
 def plus_seconds(ts: Column, seconds: Column) -> Column:
     """Naive stamp plus a whole number of seconds."""
-    zero = F.lit(0)
-    return ts + F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
+    return ts + F.expr("INTERVAL '1' SECOND") * seconds
 
 
 def epoch_seconds(ts: Column) -> Column:

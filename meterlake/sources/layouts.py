@@ -269,12 +269,17 @@ def first_units(readings: DataFrame) -> DataFrame:
     )
 
 
-def parse_water(rows: DataFrame) -> DataFrame:
-    """The first unit seen for a meter in a file names the unit of all its rows."""
-    tall = _tall(
+def water_cells(rows: DataFrame) -> DataFrame:
+    """Water readings with the unit each row names."""
+    return _tall(
         rows, "envizi_water", _serial(), _iso("Interval_Start"), "Consumption", _field("Consumption Unit"),
         t_end=_iso("Interval_End"),
     )
+
+
+def parse_water(rows: DataFrame) -> DataFrame:
+    """The first unit seen for a meter in a file names the unit of all its rows."""
+    tall = water_cells(rows)
     units = first_units(tall).select("file", "nmi", "first_unit")
     joined = tall.join(units, ["file", "nmi"], "left")
     return conform(joined.withColumn("uom", F.coalesce("first_unit", "uom")))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.coerce import number, skip_reason
 from meterlake.functions.identifiers import lookup_key, supported_suffix, unit_or_default
-from meterlake.functions.stamps import nem_stamp, plus_minutes, slot_start, slots_per_day
+from meterlake.functions.stamps import nem_stamp, slot_start, slots_per_day
 from meterlake.functions.text import BOM, cells, first_cell, named
 from meterlake.schemas import IGNORED, conform
 
@@ -121,27 +121,24 @@ def days_from_lines(lines: DataFrame) -> DataFrame:
         F.max(F.struct("seq", "ctx"))["ctx"].alias("ctx_out"),
         F.max(F.when(F.col("seq") == 0, F.col("events"))).alias("head_events"),
     )
-    before = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
-    carried = per_split.select(
-        "file",
-        "split",
-        "last_seq",
-        "head_events",
+    # From here on one small row per split. 400 records cut off from their 300
+    # by a split boundary belong to the last opening record before it.
+    in_file = W.partitionBy("file").orderBy("split")
+    before = in_file.rowsBetween(W.unboundedPreceding, -1)
+    owned = per_split.select(
+        "*",
         F.last("ctx_out", ignorenulls=True).over(before).alias("ctx_in"),
-        F.last(F.when(F.col("last_seq") > 0, F.col("split")), ignorenulls=True).over(before).alias("owner"),
+        F.count(F.when(F.col("last_seq") > 0, 1)).over(before).alias("owner"),
     )
-    # 400 records cut off from their 300 by a split boundary.
-    late = (
-        carried.filter(F.col("owner").isNotNull() & (F.size("head_events") > 0))
-        .groupBy("file", F.col("owner").alias("split"))
-        .agg(F.array_sort(F.collect_list(F.struct("split", "head_events"))).alias("late"))
-        .select("file", "split", F.flatten(F.transform("late", lambda e: e["head_events"])).alias("late"))
+    same_owner = W.partitionBy("file", "owner").orderBy("split").rowsBetween(
+        W.unboundedPreceding, W.unboundedFollowing
     )
-    context = carried.select("file", "split", "last_seq", "ctx_in").join(late, ["file", "split"], "left")
-    is_last = (F.col("seq") == F.col("last_seq")) & F.col("late").isNotNull()
+    chained = owned.withColumn("heads", F.flatten(F.collect_list("head_events").over(same_owner)))
+    context = chained.select("file", "split", "last_seq", "ctx_in", F.lead("heads").over(in_file).alias("late"))
+    is_last = (F.col("seq") == F.col("last_seq")) & (F.size("late") > 0)
     return (
         groups.filter(F.col("day").isNotNull())
-        .join(context, ["file", "split"])
+        .join(context, ["file", "split"], "left")
         .select(
             "file",
             "split",
@@ -172,71 +169,68 @@ def overlay_events(events, slots):
 
 
 def expand_days(days: DataFrame) -> DataFrame:
-    """One reading per interval of every accepted day, one marker row per rejected day."""
-    row, ctx = F.col("row"), F.col("ctx")
+    """One reading per interval of every accepted day, one marker row per rejected day.
+
+    Whatever is the same for a whole day is worked out before the day is spread
+    over its slots.
+    """
+    row, ctx, ok = F.col("row"), F.col("ctx"), F.col("reject").isNull()
     n = slots_per_day(ctx["interval"])
+    reject = (
+        F.when(ctx.isNull(), F.lit("row_anchor_failure"))
+        .when(F.size(row) < n + 2, F.lit("row_shape_mismatch"))
+        .when(F.col("date").isNull(), F.lit("unparseable_timestamp"))
+    )
     shaped = (
         days.withColumn("row", cells(F.col("day")))
         .withColumn("date", nem_stamp(F.get(row, F.lit(0))))
-        .withColumn(
-            "reject",
-            F.when(ctx.isNull(), F.lit("row_anchor_failure"))
-            .when(F.size(row) < n + 2, F.lit("row_shape_mismatch"))
-            .when(F.col("date").isNull(), F.lit("unparseable_timestamp")),
-        )
+        .withColumn("reject", reject)
     )
-    ok = F.col("reject").isNull()
-    slots = shaped.select(
+    spread = shaped.select(
         "file",
         "split",
         "pos",
-        "ctx",
-        "date",
-        "reject",
+        F.concat(ctx["suffix"], F.lit("_"), F.coalesce(F.nullif(ctx["uom"], F.lit("")), F.lit("kWh"))).alias("column"),
+        ctx["nmi"].alias("nmi"),
+        ctx["suffix"].alias("suffix"),
+        unit_or_default(ctx["uom"]).alias("uom"),
+        lookup_key(ctx["nmi"], ctx["suffix"]).alias("lookup_key"),
+        ctx["serno"].alias("serno"),
+        ctx["interval"].alias("minutes"),
+        # A channel outside the supported set yields no candidates and no skips.
+        F.when(~ok, F.col("reject")).when(~supported_suffix(ctx["suffix"]), F.lit(IGNORED)).alias("day_reason"),
+        F.when(ok, F.col("date")).alias("date"),
         F.when(ok, F.get(row, n + 1)).alias("quality"),
         F.when(ok, F.coalesce(F.get(row, n + 2), F.lit(""))).alias("code"),
         F.when(ok, F.coalesce(F.get(row, n + 3), F.lit(""))).alias("desc"),
         F.when(ok, overlay_events(F.col("events"), n)).alias("events"),
-        F.posexplode(F.when(ok, F.slice(row, F.lit(2), n)).otherwise(F.array(F.lit(None).cast("string")))).alias(
-            "slot", "raw"
-        ),
+        F.when(ok, F.slice(row, F.lit(2), n)).otherwise(F.array(F.lit(None).cast("string"))).alias("values"),
     )
+    slots = spread.select(*spread.columns[:-1], F.posexplode("values").alias("slot", "raw_val"))
     number_of = F.col("slot") + 1
     event = F.when(
-        F.size("events") > 0,
+        F.col("events").isNotNull(),
         F.try_element_at(
             F.filter("events", lambda e: (e["first"] <= number_of) & (e["last"] >= number_of)), F.lit(-1)
         ),
     )
-    start = slot_start(F.col("date"), F.col("slot"), ctx["interval"])
-    placed = slots.withColumn("event", event).withColumn("t_start", F.when(ok, start))
-    # A channel outside the supported set yields no candidates and no skips.
-    reason = F.when(~ok, F.col("reject")).when(
-        supported_suffix(ctx["suffix"]), skip_reason(F.col("raw"), F.col("t_start"))
-    ).otherwise(F.lit(IGNORED))
+    placed = slots.select(
+        "*",
+        event.alias("event"),
+        slot_start(F.col("date"), F.col("slot"), F.col("minutes")).alias("t_start"),
+        slot_start(F.col("date"), F.col("slot") + 1, F.col("minutes")).alias("t_end"),
+        number(F.col("raw_val")).alias("val"),
+    )
+    reason = F.coalesce("day_reason", skip_reason(F.col("raw_val"), F.col("t_start"), val=F.col("val")))
     return conform(
         placed.select(
-            "file",
+            *[c for c in placed.columns if c not in ("quality", "event", "events")],
             F.lit(FMT).alias("fmt"),
-            "split",
-            "pos",
-            F.concat(ctx["suffix"], F.lit("_"), F.coalesce(F.nullif(ctx["uom"], F.lit("")), F.lit("kWh"))).alias(
-                "column"
-            ),
             F.lit(False).alias("row_start"),
-            ctx["nmi"].alias("nmi"),
-            ctx["suffix"].alias("suffix"),
-            unit_or_default(ctx["uom"]).alias("uom"),
-            lookup_key(ctx["nmi"], ctx["suffix"]).alias("lookup_key"),
             F.lit("nem12_nmi").alias("id_kind"),
-            "t_start",
-            F.when(ok, plus_minutes(F.col("t_start"), ctx["interval"])).alias("t_end"),
-            F.col("raw").alias("raw_val"),
-            F.when(ok, number(F.col("raw"))).alias("val"),
             F.coalesce(F.col("event")["quality"], F.col("quality")).alias("quality"),
             F.coalesce(F.col("event")["code"], F.col("code")).alias("event_code"),
             F.coalesce(F.col("event")["desc"], F.col("desc")).alias("event_desc"),
-            ctx["serno"].alias("serno"),
             reason.alias("skip_reason"),
         )
     )
