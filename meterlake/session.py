@@ -30,7 +30,7 @@ def local_session(cpus: int | str = "*", partitions: int = 8, **extra: str) -> S
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     return spark
 
 

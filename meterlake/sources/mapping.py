@@ -21,10 +21,23 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
     ).select("lookup_key", "sensor_id", "age_seconds")
 
 
-def mapping_json(mapping: DataFrame) -> DataFrame:
-    """The map as one JSON text. It is one object by format, hence one row."""
+OBJECT_KEYS = 100_000
+
+
+def mapping_json(mapping: DataFrame, shards: int | None = None) -> DataFrame:
+    """The map as JSON objects, one row each; ``read_mapping`` reads them all back.
+
+    A map of ordinary size is a single object. Keys beyond a hundred thousand
+    go to further objects, so no task builds an unbounded one.
+    """
+    count = shards or max(1, -(-mapping.count() // OBJECT_KEYS))
     pairs = F.array_sort(F.collect_list(F.struct("lookup_key", "sensor_id")))
-    return mapping.agg(F.to_json(F.map_from_entries(pairs)).alias("value"))
+    shard = F.pmod(F.xxhash64("lookup_key"), F.lit(count))
+    return mapping.groupBy(shard.alias("shard")).agg(F.to_json(F.map_from_entries(pairs)).alias("value"))
+
+
+def write_mapping(mapping: DataFrame, path: str) -> None:
+    mapping_json(mapping).select("value").write.mode("overwrite").text(path)
 
 
 def whitelist(mapping: DataFrame, key_pattern: str, sensor_prefix: str) -> DataFrame:

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from meterlake.workload import meter_files, vendor_files
+from meterlake.workload import accounting, meter_files, vendor_files
 
-QUERIES = {**meter_files.QUERIES, **vendor_files.QUERIES}
+QUERIES = {**meter_files.QUERIES, **vendor_files.QUERIES, **accounting.QUERIES}

@@ -196,7 +196,7 @@ def tall_lines(spark, sf, header: str, cells, prefix: str):
 
 def _reading():
     """The value with some blank and some broken cells."""
-    return every("event_id", 11, F.lit(""), every("event_id", 13, F.lit("x1"), every("event_id", 19, F.lit("NaN"), F.col("value"))))
+    return every("event_id", 11, F.lit(""), every("event_id", 13, F.lit("x1"), every("event_id", 19, F.lit("NaN"), F.col("value").cast("string"))))
 
 
 def _iso(minutes: int = 0):
