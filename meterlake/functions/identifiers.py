@@ -46,11 +46,9 @@ def is_money_field(field: Column) -> Column:
     return F.contains(field, F.lit("charge")) | F.contains(field, F.lit("spend"))
 
 
-def billing_unit(field: Column, usage_unit: Column, currency: Column) -> Column:
+def billing_unit_source(suffix: str) -> str:
     """Charges and spends carry the currency, everything else the usage unit."""
-    return F.when(is_money_field(field), unit_or_default(F.trim(currency), "AUD")).otherwise(
-        unit_or_default(F.trim(usage_unit), "kWh")
-    )
+    return "spend" if "charge" in suffix or "spend" in suffix else "usage"
 
 
 def billing_field(suffix: Column) -> Column:

@@ -39,15 +39,9 @@ def has_content(row: Column) -> Column:
     return F.exists(row, lambda c: F.trim(c) != "")
 
 
-def position(header: Column, name: str) -> Column:
-    """Zero-based index of a header cell; NULL when absent."""
-    at = F.array_position(header, F.lit(name))
-    return F.when(at > 0, (at - 1).cast("int"))
-
-
 def cell(row: Column, header: Column, name: str) -> Column:
     """The row's cell under ``name``; NULL when the column or the cell is absent."""
-    return F.get(row, position(header, name))
+    return F.get(row, (F.array_position(header, F.lit(name)) - 1).cast("int"))
 
 
 def has_columns(header: Column, names: list[str]) -> Column:

@@ -49,8 +49,12 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def ingest_lines(lines: DataFrame, mapping: DataFrame, formats: list[str] | None = None) -> Ingested:
-    """Ingest lines that are already a DataFrame, of any mix of layouts."""
-    files = classify(heads(lines))
+    """Ingest lines that are already a DataFrame, of any mix of layouts.
+
+    The classification, one row per file, and the resolved readings are
+    written once, since several results read each of them.
+    """
+    files = staged(classify(heads(lines)), "files")
     readings, flags = [], []
     for name in formats or ["nem", *[x.name for x in BY_NAME.values() if x.parse is not None]]:
         live = files.filter((F.col("fmt") == name) & F.col("status").isNull()).select("file")
@@ -79,14 +83,11 @@ def _settled(files: DataFrame, flags: list[DataFrame]) -> DataFrame:
     )
 
 
-def _account(
-    files: DataFrame, readings: DataFrame, flags: list[DataFrame], mapping: DataFrame, stage: bool = False
-) -> Ingested:
-    resolved = resolve.resolve(readings, mapping)
-    if stage:
-        # Read by the lake write, the counts, the samples and the identifiers.
-        resolved = staged(resolved, "resolved")
-    outcomes = outcome.file_outcomes(outcome.file_counts(resolved), _settled(files, flags))
+def _account(files: DataFrame, readings: DataFrame, flags: list[DataFrame], mapping: DataFrame) -> Ingested:
+    # Read by the lake write, the counts, the samples and the identifiers.
+    resolved = staged(resolve.resolve(readings, mapping), "resolved")
+    settled = staged(_settled(files, flags), "settled") if flags else files
+    outcomes = outcome.file_outcomes(outcome.file_counts(resolved), settled)
     return Ingested(resolved, outcomes, outcome.skip_samples(resolved), resolve.unmapped_identifiers(resolved))
 
 
@@ -139,7 +140,7 @@ def ingest_files(spark: SparkSession, paths: list[str], mapping: DataFrame) -> I
             if BY_NAME[name].flags:
                 flags.append(content_flags(name, lines))
         readings.append(parsed)
-    return _account(files, _union(readings), flags, mapping, stage=True)
+    return _account(files, _union(readings), flags, mapping)
 
 
 def _lines_of(spark: SparkSession, name: str, paths: list[str]) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,45 +20,50 @@ def classify(heads: DataFrame) -> DataFrame:
     holds readings is settled when it is parsed. ``status`` is set for files
     whose fate is clear already: archived, recognised as empty, or broken.
     """
-    first = F.coalesce(F.get("head", F.lit(0)), F.lit(""))
     is_nem = F.exists("head", lambda line: line.rlike(NEM_HEAD))
     fmt = F.when(is_nem, F.lit("nem"))
     for layout in LAYOUTS:
         fmt = fmt.when(F.coalesce(layout.gate(), F.lit(False)), F.lit(layout.name))
 
-    def per_layout(pick):
-        picked = [(layout.name, pick(layout)) for layout in LAYOUTS]
-        start = F.lit(None).cast("string")
-        return reduce(lambda acc, p: F.when(F.col("fmt") == p[0], p[1]).otherwise(acc), picked, start)
-
-    def header_of(layout):
-        line = F.get("head", F.lit((layout.header_line or 1) - 1))
-        return cells(F.coalesce(line, F.lit("")))
+    def per_layout(pick, kind="string"):
+        out = F.lit(None).cast(kind)
+        for layout in LAYOUTS:
+            out = F.when(F.col("fmt") == layout.name, pick(layout)).otherwise(out)
+        return out
 
     def broken(layout):
         # The head of a UTF-16 file is checked where its text is decoded.
         if layout.parse is None or layout.utf16:
-            return F.lit(None).cast("string")
-        ok = F.coalesce(layout.required(header_of(layout), F.col("head")), F.lit(False))
+            return F.lit(layout.status).cast("string")
+        ok = F.coalesce(layout.required(F.col("header"), F.col("head")), F.lit(False))
         return F.when(~ok, F.lit("parse_failed"))
 
+    header_line = per_layout(lambda x: F.lit(x.header_line), "int")
+    found = heads.select(
+        "file",
+        "name",
+        "head",
+        F.coalesce(F.get("head", F.lit(0)), F.lit("")).rlike(ENVELOPE).alias("envelope"),
+        F.when(~F.col("unreadable"), fmt).alias("fmt"),
+    )
+    with_header = found.select(
+        "*", cells(F.coalesce(F.get("head", F.coalesce(header_line, F.lit(1)) - 1), F.lit(""))).alias("header")
+    )
     empty_demand = (F.col("fmt") == "demand") & F.exists("head", lambda h: F.contains(h, F.lit(NO_DEMAND_DATA)))
-    fixed_status = per_layout(lambda x: F.lit(x.status) if x.status else broken(x))
-    fixed_reason = per_layout(lambda x: F.lit(x.reason if x.status else None).cast("string"))
-    found = heads.withColumn("fmt", F.when(F.col("unreadable"), F.lit(None)).otherwise(fmt))
-    return (
-        found.withColumn("envelope", first.rlike(ENVELOPE))
-        .withColumn("status", F.when(empty_demand, F.lit("processed_empty")).otherwise(fixed_status))
-        .withColumn(
-            "reason",
-            F.when(empty_demand, F.lit("no_data_sentinel"))
-            .when(F.col("status") == "parse_failed", F.lit("parser_error"))
-            .otherwise(fixed_reason),
-        )
-        .withColumn("status", F.when(F.col("fmt").isNull(), F.lit("parse_failed")).otherwise(F.col("status")))
-        .withColumn("reason", F.when(F.col("fmt").isNull(), F.lit("parser_error")).otherwise(F.col("reason")))
-        .select("file", "name", "fmt", "status", "reason", "envelope")
+    judged = with_header.select(
+        "*",
+        F.when(F.col("fmt").isNull(), F.lit("parse_failed"))
+        .when(empty_demand, F.lit("processed_empty"))
+        .otherwise(per_layout(broken))
+        .alias("status"),
+    )
+    fixed = per_layout(lambda x: F.lit(x.reason if x.status else None).cast("string"))
+    reason = (
+        F.when(F.col("status") == "parse_failed", F.lit("parser_error"))
+        .when(F.col("fmt") == "demand", F.when(F.col("status").isNotNull(), F.lit("no_data_sentinel")))
+        .otherwise(fixed)
     )
+    return judged.select("file", "name", "fmt", "status", reason.alias("reason"), "envelope")
 
 
 def content_flags(name: str, lines: DataFrame) -> DataFrame:

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from meterlake.functions import identifiers as ids
 from meterlake.functions import stamps
-from meterlake.functions.coerce import ignore_blank, is_blank, number, skip_reason
-from meterlake.functions.text import cell, cells, first_cell, has_columns, has_content
+from meterlake.functions.coerce import ignore_blank, is_blank, number
+from meterlake.functions.text import cell, cells, first_cell, has_columns, has_content, named
 from meterlake.schemas import IGNORED, conform
 from meterlake.sources.lines import table_rows
 
@@ -106,19 +106,33 @@ def _field(name: str) -> Column:
 
 def _value(column: str, raw: Column, present: Column | None = None, **extra: Column) -> Column:
     """One cell of a row before the unpivot."""
-    return F.struct(
-        F.lit(column).alias("column"),
-        raw.alias("raw"),
-        (F.lit(True) if present is None else present).alias("present"),
-        extra.get("suffix", F.lit(None).cast("string")).alias("suffix"),
-        extra.get("uom", F.lit(None).cast("string")).alias("uom"),
-        extra.get("key", F.lit(None).cast("string")).alias("key"),
+    nothing = F.lit(None).cast("string")
+    return named(
+        column=F.lit(column),
+        raw=raw,
+        present=F.lit(True) if present is None else present,
+        suffix=extra.get("suffix", nothing),
+        uom=extra.get("uom", nothing),
+        key=extra.get("key", nothing),
     )
 
 
-def _unpivot(rows: DataFrame, fmt: str, nmi: Column, ts: Column, values: list[Column], **more: Column) -> DataFrame:
+def _judged(flat: DataFrame, na_texts: bool) -> DataFrame:
+    """Adds what every later rule asks of a cell, once: its number, and whether it is blank."""
+    return flat.select("*", number(F.col("raw")).alias("num"), is_blank(F.col("raw"), na_texts).alias("blank"))
+
+
+def _unpivot(
+    rows: DataFrame,
+    fmt: str,
+    nmi: Column,
+    ts: Column,
+    values: list[Column],
+    na_texts: bool = True,
+    of_cells: dict[str, Callable[[Column], Column]] | None = None,
+    **more: Column,
+) -> DataFrame:
     """One row per value cell present in the header; ``cell_no`` 0 leads its source row."""
-    present = F.filter(F.array(*values), lambda v: v["present"])
     wide = rows.select(
         "file",
         "split",
@@ -126,28 +140,40 @@ def _unpivot(rows: DataFrame, fmt: str, nmi: Column, ts: Column, values: list[Co
         nmi.alias("nmi"),
         ts.alias("t_start"),
         *[c.alias(k) for k, c in more.items()],
-        present.alias("cells_of_row"),
-    )
-    return wide.select(
-        F.lit(fmt).alias("fmt"), *wide.columns[:-1], F.posexplode("cells_of_row").alias("cell_no", "v")
+        F.filter(F.array(*values), lambda v: v["present"]).alias("v"),
     )
+    if of_cells:
+        wide = wide.select("*", *[f(F.col("v")).alias(k) for k, f in of_cells.items()])
+    flat = wide.select(F.lit(fmt).alias("fmt"), *[c for c in wide.columns if c != "v"], F.posexplode("v").alias("cell_no", "v"))
+    return _judged(flat.select(*[c for c in flat.columns if c != "v"], "v.column", "v.raw", "v.suffix", "v.uom", "v.key"), na_texts)
 
 
 def _finish(df: DataFrame, reason: Column, val: Column | None = None, id_kind: str = "nem12_nmi") -> DataFrame:
-    key = F.coalesce(F.col("v")["key"], ids.lookup_key(F.col("nmi"), F.col("v")["suffix"]))
-    shaped = df.select(
-        "*",
-        F.col("v")["column"].alias("column"),
-        (F.col("cell_no") == 0).alias("row_start"),
-        F.col("v")["suffix"].alias("suffix"),
-        F.lower(F.col("v")["uom"]).alias("uom"),
-        key.alias("lookup_key"),
-        F.lit(id_kind).alias("id_kind"),
-        F.col("v")["raw"].alias("raw_val"),
-        (number(F.col("v")["raw"]) if val is None else val).alias("val"),
-        reason.alias("skip_reason"),
+    rest = [c for c in df.columns if c not in ("uom", "key", "raw", "num", "blank", "cell_no")]
+    return conform(
+        df.select(
+            *rest,
+            (F.col("cell_no") == 0).alias("row_start"),
+            F.lower("uom").alias("uom"),
+            F.coalesce(F.col("key"), ids.lookup_key(F.col("nmi"), F.col("suffix"))).alias("lookup_key"),
+            F.lit(id_kind).alias("id_kind"),
+            F.col("raw").alias("raw_val"),
+            (F.col("num") if val is None else val).alias("val"),
+            reason.alias("skip_reason"),
+        )
+    )
+
+
+def _cell_reason() -> Column:
+    return (
+        F.when(F.col("blank"), F.lit("blank_value"))
+        .when(F.col("t_start").isNull(), F.lit("unparseable_timestamp"))
+        .when(F.col("num").isNull(), F.lit("unparseable_value"))
     )
-    return conform(shaped)
+
+
+def _bad_stamp() -> Column:
+    return F.when(F.col("t_start").isNull(), F.lit("unparseable_timestamp"))
 
 
 def _per_row(row_reason: Column, cell_reason: Column) -> Column:
@@ -169,18 +195,15 @@ def parse_interval(rows: DataFrame) -> DataFrame:
         ids.prefixed(_field("Identifier"), ids.OPTIMA),
         ts,
         values,
-        usable=F.exists(F.array(*[number(_field(c)) for c, _ in INTERVAL_FIELDS]), lambda v: v.isNotNull()),
-        first_blank=F.array_position(
-            F.transform(F.filter(F.array(*values), lambda v: v["present"]), lambda v: is_blank(v["raw"], True)), True
-        ),
+        of_cells={
+            "usable": lambda v: F.exists(v, lambda c: number(c["raw"]).isNotNull()),
+            "first_blank": lambda v: F.array_position(F.transform(v, lambda c: is_blank(c["raw"], True)), True),
+        },
     )
-    raw = F.col("v")["raw"]
     # A row without any usable value counts one blank, not one per column.
-    cell_reason = F.when(
-        is_blank(raw, True) & ~F.col("usable") & (F.col("cell_no") + 1 != F.col("first_blank")), F.lit(IGNORED)
-    ).otherwise(skip_reason(raw, F.col("t_start"), na_texts=True))
-    row_reason = F.when(F.col("t_start").isNull(), F.lit("unparseable_timestamp"))
-    return _finish(flat, _per_row(row_reason, cell_reason))
+    repeated = F.col("blank") & ~F.col("usable") & (F.col("cell_no") + 1 != F.col("first_blank"))
+    cell_reason = F.when(repeated, F.lit(IGNORED)).otherwise(_cell_reason())
+    return _finish(flat, _per_row(_bad_stamp(), cell_reason))
 
 
 # ---- demand profile and usage-and-spend report -----------------------------
@@ -188,7 +211,8 @@ def parse_interval(rows: DataFrame) -> DataFrame:
 
 def row_shape(required: list[str]) -> Column:
     """Why a ragged row is skipped: too many cells, no identifier cell, or another required cell missing."""
-    missing = F.exists(F.array(*[_field(c) for c in required]), lambda c: c.isNull())
+    names = F.array(*[F.lit(c) for c in required])
+    missing = F.exists(names, lambda c: F.get(ROW, (F.array_position(HEADER, c) - 1).cast("int")).isNull())
     return (
         F.when(F.size(ROW) > F.size(HEADER), F.lit("row_shape_mismatch"))
         .when(_field("Identifier").isNull(), F.lit("row_anchor_failure"))
@@ -196,12 +220,15 @@ def row_shape(required: list[str]) -> Column:
     )
 
 
-def _report_row_reason(required: list[str], ts: Column) -> Column:
-    return (
-        F.when(row_shape(required).isNotNull(), row_shape(required))
-        .when(F.trim(_field("Identifier")) == "", F.lit("row_anchor_failure"))
-        .when(ts.isNull(), F.lit("unparseable_timestamp"))
+def _report(rows: DataFrame, fmt: str, required: list[str], ts: Column, values: list[Column], ident: Column) -> DataFrame:
+    """Rows of the two reports: the same row rules, blank cells are normal."""
+    flat = _unpivot(
+        rows.filter(has_content(ROW)), fmt, ident, ts, values, na_texts=False, row_shape=row_shape(required)
+    )
+    row_reason = F.coalesce(
+        F.col("row_shape"), F.when(F.col("nmi") == "", F.lit("row_anchor_failure")), _bad_stamp()
     )
+    return _finish(flat, _per_row(row_reason, ignore_blank(_cell_reason())), id_kind="nmi")
 
 
 DEMAND_COLUMNS = ["Identifier", "ReadingDateTime", *[c for c, _, _ in DEMAND_FIELDS]]
@@ -215,31 +242,22 @@ def parse_demand(rows: DataFrame) -> DataFrame:
         _value(c, F.trim(_field(c)), uom=F.lit(u), key=F.concat(F.lit(ids.OPTIMA), ident, F.lit(f"-demand-{s}")))
         for c, s, u in DEMAND_FIELDS
     ]
-    flat = _unpivot(
-        rows.filter(has_content(ROW)), "demand", ident, ts, values, row_reason=_report_row_reason(DEMAND_COLUMNS, ts)
-    )
-    cell_reason = ignore_blank(skip_reason(F.col("v")["raw"], F.col("t_start")))
-    return _finish(flat, _per_row(F.col("row_reason"), cell_reason), id_kind="nmi")
+    return _report(rows, "demand", DEMAND_COLUMNS, ts, values, ident)
 
 
 def parse_billing(rows: DataFrame) -> DataFrame:
-    ident = F.trim(_field("Identifier"))
-    ts = stamps.billing_month(_field("Date"))
-    usage, spend = _field("Usage Measurement Unit"), _field("Spend Currency")
+    known = rows.select(
+        "*",
+        F.trim(_field("Identifier")).alias("ident"),
+        ids.unit_or_default(F.trim(_field("Usage Measurement Unit")), "kWh").alias("usage"),
+        ids.unit_or_default(F.trim(_field("Spend Currency")), "AUD").alias("spend"),
+    )
+    ident = F.col("ident")
     values = [
-        _value(
-            c,
-            F.trim(_field(c)),
-            uom=ids.billing_unit(F.lit(s), usage, spend),
-            key=F.concat(ident, F.lit(f"-{s}")),
-        )
+        _value(c, F.trim(_field(c)), uom=F.col(ids.billing_unit_source(s)), key=F.concat(ident, F.lit(f"-{s}")))
         for c, s, _ in BILLING_FIELDS
     ]
-    flat = _unpivot(
-        rows.filter(has_content(ROW)), "billing", ident, ts, values, row_reason=_report_row_reason(BILLING_COLUMNS, ts)
-    )
-    cell_reason = ignore_blank(skip_reason(F.col("v")["raw"], F.col("t_start")))
-    return _finish(flat, _per_row(F.col("row_reason"), cell_reason), id_kind="nmi")
+    return _report(known, "billing", BILLING_COLUMNS, stamps.billing_month(_field("Date")), values, ident)
 
 
 # ---- one meter per row: water, electricity, bulk water, logger --------------
@@ -248,8 +266,7 @@ def parse_billing(rows: DataFrame) -> DataFrame:
 def _tall(rows: DataFrame, fmt: str, ident: Column, stamp: Column, column: str, uom: Column, **more: Column):
     values = [_value(column, _field(column), suffix=F.lit("E1"), uom=uom)]
     flat = _unpivot(rows, fmt, ident, stamp, values, **more)
-    row_reason = F.when(F.col("t_start").isNull(), F.lit("unparseable_timestamp"))
-    return _finish(flat, _per_row(row_reason, skip_reason(F.col("v")["raw"], F.col("t_start"), na_texts=True)))
+    return _finish(flat, _per_row(_bad_stamp(), _cell_reason()))
 
 
 def _iso(name: str) -> Column:
@@ -309,13 +326,12 @@ def parse_comx(rows: DataFrame) -> DataFrame:
         values,
         in_wh=in_wh,
     )
-    cell_raw = F.col("v")["raw"]
     reason = (
-        F.when(is_blank(cell_raw, True), F.lit("blank_value"))
-        .when(number(cell_raw).isNull(), F.lit("unparseable_value"))
+        F.when(F.col("blank"), F.lit("blank_value"))
+        .when(F.col("num").isNull(), F.lit("unparseable_value"))
         .when(F.col("t_start").isNull(), F.lit("unparseable_timestamp"))
     )
-    val = F.when(F.col("in_wh"), ids.wh_to_kwh(number(cell_raw))).otherwise(number(cell_raw))
+    val = F.when(F.col("in_wh"), ids.wh_to_kwh(F.col("num"))).otherwise(F.col("num"))
     return _finish(flat, reason, val)
 
 
@@ -338,22 +354,18 @@ def melt(rows: DataFrame, fmt: str, ts: Column, wanted: Callable[[Column], Colum
     flat = wide.select(
         F.lit(fmt).alias("fmt"), "file", "split", "pos", "t_start", F.posexplode("cells_of_row").alias("cell_no", "c")
     )
-    return flat.select(
-        "fmt",
-        "file",
-        "split",
-        "pos",
-        "t_start",
-        "cell_no",
-        F.col("c")["at"].alias("at"),
-        nmi(F.col("c")["column"]).alias("nmi"),
-        F.struct(
-            F.col("c")["column"].alias("column"),
-            F.col("c")["raw"].alias("raw"),
+    return _judged(
+        flat.select(
+            *[c for c in flat.columns if c != "c"],
+            "c.at",
+            "c.column",
+            "c.raw",
+            nmi(F.col("c")["column"]).alias("nmi"),
             F.lit("E1").alias("suffix"),
             F.lit("kWh").alias("uom"),
             F.lit(None).cast("string").alias("key"),
-        ).alias("v"),
+        ),
+        na_texts=True,
     )
 
 
@@ -372,19 +384,16 @@ def parse_wide_kwh(rows: DataFrame) -> DataFrame:
         lambda h: F.contains(h, F.lit("kWh")),
         lambda h: ids.prefixed(ids.before_space(h), ids.OPTIMA),
     )
-    raw = F.col("v")["raw"]
-    marked = flat.withColumn("zero_day", drop_zero_days(flat, ["file", "at"], number(raw)))
-    cell_reason = ignore_blank(skip_reason(raw, F.col("t_start"), na_texts=True))
-    row_reason = F.when(F.col("t_start").isNull(), F.lit("unparseable_timestamp"))
+    marked = flat.withColumn("zero_day", drop_zero_days(flat, ["file", "at"], F.col("num")))
+    cell_reason = ignore_blank(_cell_reason())
     quiet = F.when(cell_reason.isNull() & F.col("zero_day"), F.lit(IGNORED)).otherwise(cell_reason)
-    return _finish(marked, _per_row(row_reason, quiet))
+    return _finish(marked, _per_row(_bad_stamp(), quiet))
 
 
 def column_kinds(flat: DataFrame) -> DataFrame:
     """Per file and column: is it empty, and do at least half of its values read as numbers?"""
-    raw = F.col("v")["raw"]
-    filled = F.count(F.when(~is_blank(raw, True), 1))
-    numeric = F.count(F.when(~is_blank(raw, True) & number(raw).isNotNull(), 1))
+    filled = F.count(F.when(~F.col("blank"), 1))
+    numeric = F.count(F.when(~F.col("blank"), F.col("num")))
     return (
         flat.filter(F.col("t_start").isNotNull())
         .groupBy("file", "at")
@@ -405,20 +414,18 @@ def solar_stamp(text: Column) -> Column:
 def parse_solar(rows: DataFrame) -> DataFrame:
     flat = melt(rows, "solar", solar_stamp(_field("timestamp")), lambda h: h.startswith("p:"), ids.before_unit)
     kinds = column_kinds(flat)
-    raw = F.col("v")["raw"]
-    joined = flat.join(kinds, ["file", "at"], "left").withColumn(
-        "v", F.col("v").withField("uom", F.when(F.col("is_numeric"), F.lit("kWh")).otherwise(F.lit("mode")))
+    code = status_code(F.col("raw"))
+    joined = flat.drop("uom").join(kinds, ["file", "at"], "left").select(
+        "*", F.when(F.col("is_numeric"), F.lit("kWh")).otherwise(F.lit("mode")).alias("uom"),
+        F.when(~F.col("is_numeric"), code).alias("code"),
     )
-    row_reason = F.when(F.col("t_start").isNull(), F.lit("unparseable_timestamp"))
-    as_number = ignore_blank(skip_reason(raw, F.col("t_start"), na_texts=True))
-    as_status = F.when(status_code(raw).isNull(), F.lit(IGNORED))
     reason = (
         F.when(F.coalesce(F.col("filled"), F.lit(0)) == 0, F.lit(IGNORED))
-        .when(F.col("is_numeric"), as_number)
-        .otherwise(as_status)
+        .when(F.col("is_numeric"), ignore_blank(_cell_reason()))
+        .when(F.col("code").isNull(), F.lit(IGNORED))
     )
-    val = F.when(F.col("is_numeric"), number(raw)).otherwise(status_code(raw))
-    return _finish(joined, _per_row(row_reason, reason), val)
+    val = F.when(F.col("is_numeric"), F.col("num")).otherwise(F.col("code"))
+    return _finish(joined, _per_row(_bad_stamp(), reason), val)
 
 
 # ---- the registry -----------------------------------------------------------

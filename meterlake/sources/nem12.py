@@ -65,15 +65,16 @@ def days_from_blocks(blocks: DataFrame) -> DataFrame:
     """Days of ``(file, split, pos, block)``; a block starts after ``200,``."""
     first_line = F.regexp_replace(F.substring_index("block", "\n", 1), "\r$", "")
     parts = F.split("block", "\n300,")
-    chunks = blocks.select(
+    opened = blocks.select("file", "split", "pos", cells(first_line).alias("fields"), parts.alias("parts"))
+    chunks = opened.select(
         "file",
         "split",
         "pos",
-        _context(cells(first_line)).alias("ctx"),
-        F.explode(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))).alias("chunk"),
+        _context("fields").alias("ctx"),
+        F.explode(F.slice("parts", F.lit(2), F.greatest(F.size("parts") - 1, F.lit(0)))).alias("chunk"),
     )
-    events = F.split("chunk", "\n400,")
-    return chunks.select(
+    events = F.col("parts")
+    return chunks.select("*", F.split("chunk", "\n400,").alias("parts")).select(
         "file",
         "split",
         "pos",
@@ -93,18 +94,20 @@ def days_from_lines(lines: DataFrame) -> DataFrame:
     in_split = W.partitionBy("file", "split").orderBy("pos")
     opens = F.col("rec").isin(200, 300, 900)
     # A 900 or a malformed 200 is a context too: the one without a meter.
-    ctx = F.when(F.col("rec").isin(200, 900), F.struct(F.when(F.col("rec") == 200, _context(cells(rest))).alias("c")))
+    ctx = F.when(F.col("rec").isin(200, 900), F.struct(_context("fields").alias("c")))
     marked = (
-        lines.withColumn("rec", rec)
+        lines.select("file", "split", "pos", rec.alias("rec"), rest.alias("body"))
         .filter(F.col("rec").isin(200, 300, 400, 900))
+        .select("*", F.when(F.col("rec") == 200, cells(F.col("body"))).alias("fields"))
+        .select("file", "split", "pos", "rec", ctx.alias("ctx"), F.when(F.col("rec").isin(300, 400), F.col("body")).alias("body"))
         .select(
             "file",
             "split",
             "pos",
             "rec",
-            F.last(ctx, ignorenulls=True).over(in_split).alias("ctx"),
+            F.last("ctx", ignorenulls=True).over(in_split).alias("ctx"),
             F.count(F.when(opens, 1)).over(in_split).alias("seq"),
-            F.when(F.col("rec").isin(300, 400), rest).alias("body"),
+            "body",
         )
     )
     # One group per opening record; already partitioned by (file, split).
@@ -153,13 +156,13 @@ def days_from_lines(lines: DataFrame) -> DataFrame:
 def overlay_events(events, slots):
     """Valid 400 records as structs, in file order."""
     parsed = F.transform(
-        events,
-        lambda e: named(
-            first=F.trim(F.get(cells(e), F.lit(0))).try_cast("int"),
-            last=F.trim(F.get(cells(e), F.lit(1))).try_cast("int"),
-            quality=F.coalesce(F.get(cells(e), F.lit(2)), F.lit("")),
-            code=F.coalesce(F.get(cells(e), F.lit(3)), F.lit("")),
-            desc=F.coalesce(F.get(cells(e), F.lit(4)), F.lit("")),
+        F.transform(events, cells),
+        lambda c: named(
+            first=F.trim(F.get(c, F.lit(0))).try_cast("int"),
+            last=F.trim(F.get(c, F.lit(1))).try_cast("int"),
+            quality=F.coalesce(F.get(c, F.lit(2)), F.lit("")),
+            code=F.coalesce(F.get(c, F.lit(3)), F.lit("")),
+            desc=F.coalesce(F.get(c, F.lit(4)), F.lit("")),
         ),
     )
     return F.when(
