@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
-from meterlake.workload import accounting, meter_files, vendor_files
+from meterlake.workload import accounting, lake_table, meter_files, reports, vendor_files
 
-QUERIES = {**meter_files.QUERIES, **vendor_files.QUERIES, **accounting.QUERIES}
+QUERIES = {
+    **meter_files.QUERIES,
+    **vendor_files.QUERIES,
+    **accounting.QUERIES,
+    **lake_table.QUERIES,
+    **reports.QUERIES,
+}
