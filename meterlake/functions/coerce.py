@@ -44,15 +44,13 @@ def number(raw: Column) -> Column:
     """The finite-or-infinite double in ``raw``, else NULL.
 
     Spark's cast also takes the type suffixes of Java literals (``1d``, ``1f``);
-    those are not numbers here, and neither is NaN. The suffix is only looked
-    at where a cast succeeded on a text that ends in a letter. Blank cells do
-    not reach the cast, whose failure is far dearer than its success.
+    those are not numbers here, and neither is NaN. Blank cells do not
+    reach the cast, whose failure is far dearer than its success.
     """
     trimmed = F.trim(raw)
-    cast = F.when(trimmed != "", trimmed.try_cast("double"))
-    last = F.right(trimmed, F.lit(1))
-    typed = last.isin("d", "D", "f", "F") & ~F.lower(trimmed).endswith("inf")
-    return F.when(cast.isNotNull() & ~F.isnan(cast) & ~typed, cast)
+    typed = F.substring(trimmed, -1, 1).isin("d", "D", "f", "F") & ~F.lower(trimmed).endswith("inf")
+    no_number = F.lit(None).cast("double")
+    return F.when((trimmed != "") & ~typed, F.nanvl(trimmed.try_cast("double"), no_number))
 
 
 def skip_reason(raw: Column, ts: Column, na_texts: bool = False, val: Column | None = None) -> Column:

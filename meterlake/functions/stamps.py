@@ -36,22 +36,11 @@ def billing_month(text: Column) -> Column:
 def nem_stamp(text: Column) -> Column:
     """Date8, DateTime12 or DateTime14, chosen by length; anything else NULL."""
     t = F.trim(text)
-    digits = t.rlike("^[0-9]+$")
-    iso = F.concat_ws(
-        "",
-        F.substring(t, 1, 4),
-        F.lit("-"),
-        F.substring(t, 5, 2),
-        F.lit("-"),
-        F.substring(t, 7, 2),
-        F.lit(" "),
-        F.when(F.length(t) >= 12, F.substring(t, 9, 2)).otherwise("00"),
-        F.lit(":"),
-        F.when(F.length(t) >= 12, F.substring(t, 11, 2)).otherwise("00"),
-        F.lit(":"),
-        F.when(F.length(t) == 14, F.substring(t, 13, 2)).otherwise("00"),
-    )
-    return F.when(digits & F.length(t).isin(8, 12, 14), iso.try_cast(NTZ))
+    p = F.rpad(t, 14, "0")
+    marks = ["", "-", "-", " ", ":", ":"]
+    starts = [(1, 4), (5, 2), (7, 2), (9, 2), (11, 2), (13, 2)]
+    parts = [part for mark, (at, n) in zip(marks, starts, strict=True) for part in (F.lit(mark), F.substring(p, at, n))]
+    return F.when(t.rlike("^([0-9]{8}|[0-9]{12}|[0-9]{14})$"), F.concat(*parts).try_cast(NTZ))
 
 
 def day_start(ts: Column) -> Column:

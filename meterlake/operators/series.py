@@ -37,7 +37,7 @@ def split_days(readings: DataFrame) -> DataFrame:
     first = day_start(F.col("t_start"))
     days = F.datediff(F.to_date(plus_seconds(F.col("t_end"), F.lit(-1))), F.to_date("t_start"))
     pieces = F.when(is_long, F.sequence(F.lit(0), days)).otherwise(F.array(F.lit(0)))
-    spread = readings.select("*", total.alias("_total"), is_long.alias("_long"), F.explode(pieces).alias("_piece"))
+    spread = readings.select("*", total.alias("_total"), is_long.alias("_long"), F.explode_outer(pieces).alias("_piece"))
     begin = plus_minutes(first, F.col("_piece") * 1440)
     start = F.when(F.col("_long"), F.greatest("t_start", begin)).otherwise(F.col("t_start"))
     end = F.when(F.col("_long"), F.least("t_end", plus_minutes(begin, F.lit(1440)))).otherwise(F.col("t_end"))
@@ -71,7 +71,7 @@ def regrid(readings: DataFrame, minutes: int, keys: list[str] | None = None) ->
     held = length >= step
     kept = readings.filter(held & (length % step == 0)).select(*keys, *_SERIES, length.alias("_length"))
     parts = F.col("_length") / step
-    pieces = kept.select("*", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("_piece"))
+    pieces = kept.select("*", F.explode_outer(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("_piece"))
     begin = plus_minutes(F.col("t_start"), F.col("_piece") * minutes)
     finer = pieces.select(
         *keys,

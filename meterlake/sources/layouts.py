@@ -144,7 +144,9 @@ def _unpivot(
     )
     if of_cells:
         wide = wide.select("*", *[f(F.col("v")).alias(k) for k, f in of_cells.items()])
-    flat = wide.select(F.lit(fmt).alias("fmt"), *[c for c in wide.columns if c != "v"], F.posexplode("v").alias("cell_no", "v"))
+    flat = wide.select(F.lit(fmt).alias("fmt"), *[c for c in wide.columns if c != "v"], F.posexplode_outer("v").alias("cell_no", "v"))
+    # Outer, or Spark would test the array for emptiness on a second copy of all its expressions.
+    flat = flat.filter(F.col("cell_no").isNotNull())
     return _judged(flat.select(*[c for c in flat.columns if c != "v"], "v.column", "v.raw", "v.suffix", "v.uom", "v.key"), na_texts)
 
 
@@ -352,8 +354,8 @@ def melt(rows: DataFrame, fmt: str, ts: Column, wanted: Callable[[Column], Colum
         F.filter(paired, lambda c: wanted(c["column"])).alias("cells_of_row"),
     )
     flat = wide.select(
-        F.lit(fmt).alias("fmt"), "file", "split", "pos", "t_start", F.posexplode("cells_of_row").alias("cell_no", "c")
-    )
+        F.lit(fmt).alias("fmt"), "file", "split", "pos", "t_start", F.posexplode_outer("cells_of_row").alias("cell_no", "c")
+    ).filter(F.col("cell_no").isNotNull())
     return _judged(
         flat.select(
             *[c for c in flat.columns if c != "c"],

@@ -71,8 +71,8 @@ def days_from_blocks(blocks: DataFrame) -> DataFrame:
         "split",
         "pos",
         _context("fields").alias("ctx"),
-        F.explode(F.slice("parts", F.lit(2), F.greatest(F.size("parts") - 1, F.lit(0)))).alias("chunk"),
-    )
+        F.explode_outer(F.slice("parts", F.lit(2), F.greatest(F.size("parts") - 1, F.lit(0)))).alias("chunk"),
+    ).filter(F.col("chunk").isNotNull())
     events = F.col("parts")
     return chunks.select("*", F.split("chunk", "\n400,").alias("parts")).select(
         "file",
@@ -209,7 +209,8 @@ def expand_days(days: DataFrame) -> DataFrame:
         F.when(ok, overlay_events(F.col("events"), n)).alias("events"),
         F.when(ok, F.slice(row, F.lit(2), n)).otherwise(F.array(F.lit(None).cast("string"))).alias("values"),
     )
-    slots = spread.select(*spread.columns[:-1], F.posexplode("values").alias("slot", "raw_val"))
+    # Outer, or Spark would test the never empty array on a second copy of its expressions.
+    slots = spread.select(*spread.columns[:-1], F.posexplode_outer("values").alias("slot", "raw_val"))
     number_of = F.col("slot") + 1
     event = F.when(
         F.col("events").isNotNull(),

@@ -30,38 +30,46 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     def at(i: int):
         return F.get("row", F.lit(i))
 
-    read = _records(lines, 250)
-    start, end = nem_stamp(at(PREV_DATE)), nem_stamp(at(CUR_DATE))
-    broken = F.size("row") <= UOM
-    stamp = F.when(end.isNotNull(), start)
+    # Named in steps, so that each cell is cut and converted once.
+    taken = _records(lines, 250).select(
+        "file",
+        "split",
+        "pos",
+        (F.size("row") <= UOM).alias("broken"),
+        at(NMI).alias("nmi"),
+        at(SUFFIX).alias("suffix"),
+        at(UOM).alias("unit"),
+        at(SERIAL).alias("serno"),
+        nem_stamp(at(PREV_DATE)).alias("t_start"),
+        nem_stamp(at(CUR_DATE)).alias("t_end"),
+        at(QUANTITY).alias("raw_val"),
+        at(PREV_READ).alias("prev"),
+        at(CUR_READ).alias("cur"),
+        at(CUR_QUALITY).alias("quality"),
+    )
+    valued = taken.select(
+        "*",
+        number(F.col("raw_val")).alias("val"),
+        number(F.col("prev")).alias("val_start"),
+        number(F.col("cur")).alias("val_end"),
+    )
+    stamp = F.when(F.col("t_end").isNotNull(), F.col("t_start"))
     reason = (
-        F.when(broken, F.lit("row_shape_mismatch"))
-        .when(~supported_suffix(at(SUFFIX)), F.lit(IGNORED))
-        .otherwise(skip_reason(at(QUANTITY), stamp))
+        F.when(F.col("broken"), F.lit("row_shape_mismatch"))
+        .when(~supported_suffix(F.col("suffix")), F.lit(IGNORED))
+        .otherwise(skip_reason(F.col("raw_val"), stamp, val=F.col("val")))
     )
     return conform(
-        read.select(
-            "file",
+        valued.select(
+            "*",
             F.lit(FMT).alias("fmt"),
-            "split",
-            "pos",
-            F.concat_ws("_", at(SUFFIX), at(UOM)).alias("column"),
+            F.concat_ws("_", "suffix", "unit").alias("column"),
             F.lit(False).alias("row_start"),
-            at(NMI).alias("nmi"),
-            at(SUFFIX).alias("suffix"),
-            unit_or_default(at(UOM)).alias("uom"),
-            lookup_key(at(NMI), at(SUFFIX)).alias("lookup_key"),
+            unit_or_default(F.col("unit")).alias("uom"),
+            lookup_key(F.col("nmi"), F.col("suffix")).alias("lookup_key"),
             F.lit("nem12_nmi").alias("id_kind"),
-            start.alias("t_start"),
-            end.alias("t_end"),
-            at(QUANTITY).alias("raw_val"),
-            number(at(QUANTITY)).alias("val"),
-            at(CUR_QUALITY).alias("quality"),
             F.lit("").alias("event_code"),
             F.lit("").alias("event_desc"),
-            at(SERIAL).alias("serno"),
-            number(at(PREV_READ)).alias("val_start"),
-            number(at(CUR_READ)).alias("val_end"),
             reason.alias("skip_reason"),
         )
     )

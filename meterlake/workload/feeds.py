@@ -157,7 +157,7 @@ def nem12_lines(spark: SparkSession, sf: str) -> DataFrame:
     body = days.select(
         "file",
         (base + F.dayofmonth("day")).alias("base"),
-        F.explode(
+        F.explode_outer(
             F.concat(F.array(_line(F.lit(0), F.col("day_line"))), F.col("event_lines"), F.col("order_lines"))
         ).alias("x"),
     ).select("file", (F.col("base") * 512 + F.col("x")["kind"] + FIRST).alias("pos"), F.col("x")["line"].alias("line"))
