@@ -7,10 +7,7 @@ a time, as with any copy-on-write table without a transaction log.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.operators.dedupe import KEYS, last_write_wins
@@ -45,11 +42,6 @@ def _touched(df: DataFrame, partitions: list[str]) -> list:
     return df.select(*partitions).distinct().collect()
 
 
-def _in_partitions(rows: list, partitions: list[str]) -> Column:
-    tests = [reduce(lambda a, b: a & b, [F.col(p) == r[p] for p in partitions]) for r in rows]
-    return reduce(lambda a, b: a | b, tests)
-
-
 def write(df: DataFrame, path: str, partitions: list[str] | None = None, keys: list[str] | None = None) -> None:
     """Overwrite the partitions present in ``df``.
 
@@ -67,11 +59,25 @@ def write(df: DataFrame, path: str, partitions: list[str] | None = None, keys: l
     )
 
 
-def stored_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException:
+def _folder(path: str, partitions: list[str], row) -> str:
+    return "/".join([path.rstrip("/"), *[f"{p}={row[p]}" for p in partitions]])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def stored(spark: SparkSession, path: str, rows: list, partitions: list[str]) -> DataFrame | None:
+    """The stored rows of the touched partitions; None if there are none yet.
+
+    Only those partitions are listed, and only their footers are merged, so a
+    column added earlier survives the rewrite.
+    """
+    folders = [f for f in (_folder(path, partitions, r) for r in rows) if _exists(spark, f)]
+    if not folders:
         return None
+    return spark.read.option("basePath", path).option("mergeSchema", True).parquet(*folders)
 
 
 def upsert(
@@ -94,11 +100,8 @@ def upsert(
     touched = _touched(batch, partitions)
     if not touched:
         return 0
-    stored = stored_or_none(spark, path)
-    if stored is None:
-        write(batch, path, partitions, keys)
-    else:
-        write(merged(stored.filter(_in_partitions(touched, partitions)), batch, keys), path, partitions, keys)
+    old = stored(spark, path, touched, partitions)
+    write(batch if old is None else merged(old, batch, keys), path, partitions, keys)
     return batch.count()
 
 
@@ -120,16 +123,17 @@ def delete(
     touched = _touched(doomed, partitions)
     if not touched:
         return 0
-    stored = spark.read.option("mergeSchema", True).parquet(path).filter(_in_partitions(touched, partitions))
-    left = staged(without(stored, doomed, keys), "survivors")
+    old = stored(spark, path, touched, partitions)
+    if old is None:
+        return 0
+    left = staged(without(old, doomed, keys), "survivors")
     write(left, path, partitions, keys)
     # A dynamic overwrite leaves a partition alone when no row of it is left.
     filled = {tuple(r) for r in left.select(*partitions).distinct().collect()}
     empty = left.drop(*partitions).limit(0)
     for row in touched:
         if tuple(row) not in filled:
-            folder = "/".join(f"{p}={row[p]}" for p in partitions)
-            empty.write.mode("overwrite").parquet(f"{path}/{folder}")
+            empty.write.mode("overwrite").parquet(_folder(path, partitions, row))
     return doomed.count()
 
 

@@ -12,8 +12,8 @@ from meterlake.functions.text import decode_key
 from meterlake.operators import lake, outcome, resolve
 from meterlake.schemas import READINGS
 from meterlake.session import staged
-from meterlake.sources import nem12, nem13
-from meterlake.sources.classify import classify, content_flags, read_layout, read_nem, settle_nem
+from meterlake.sources import nem12
+from meterlake.sources.classify import NEM, classify, content_flags, read_layout, read_nem, settle_nem
 from meterlake.sources.layouts import BY_NAME
 from meterlake.sources.lines import headers, heads, read_lines, read_utf16_lines, read_zipped_lines
 from meterlake.sources.tables import manifest
@@ -56,12 +56,11 @@ def ingest_lines(lines: DataFrame, mapping: DataFrame, formats: list[str] | None
     """
     files = staged(classify(heads(lines)), "files")
     readings, flags = [], []
-    for name in formats or ["nem", *[x.name for x in BY_NAME.values() if x.parse is not None]]:
+    for name in formats or [*NEM, *[x.name for x in BY_NAME.values() if x.parse is not None]]:
         live = files.filter((F.col("fmt") == name) & F.col("status").isNull()).select("file")
         own = lines.join(live, "file", "left_semi")
-        if name == "nem":
-            parsed = read_nem(own)
-            flags.append(settle_nem(files, parsed))
+        if name in NEM:
+            parsed = read_nem(name, own)
         else:
             parsed = read_layout(name, own)
             if BY_NAME[name].flags:
@@ -72,8 +71,6 @@ def ingest_lines(lines: DataFrame, mapping: DataFrame, formats: list[str] | None
 
 def _settled(files: DataFrame, flags: list[DataFrame]) -> DataFrame:
     """Files with the verdicts that needed their bodies."""
-    if not flags:
-        return files
     late = _union(flags).select("file", F.col("status").alias("_s"), F.col("reason").alias("_r"))
     return (
         files.join(late, "file", "left")
@@ -86,7 +83,8 @@ def _settled(files: DataFrame, flags: list[DataFrame]) -> DataFrame:
 def _account(files: DataFrame, readings: DataFrame, flags: list[DataFrame], mapping: DataFrame) -> Ingested:
     # Read by the lake write, the counts, the samples and the identifiers.
     resolved = staged(resolve.resolve(readings, mapping), "resolved")
-    settled = staged(_settled(files, flags), "settled") if flags else files
+    # Whether a meter-data file holds readings shows in the staged rows, without parsing it again.
+    settled = staged(_settled(files, [*flags, settle_nem(files, resolved)]), "settled")
     outcomes = outcome.file_outcomes(outcome.file_counts(resolved), settled)
     return Ingested(resolved, outcomes, outcome.skip_samples(resolved), resolve.unmapped_identifiers(resolved))
 
@@ -120,19 +118,16 @@ def ingest_files(spark: SparkSession, paths: list[str], mapping: DataFrame) -> I
     for name, of_layout in by_layout.items():
         loose = [p for p in of_layout if not p.lower().endswith(".zip")]
         boxed = len(loose) < len(of_layout)
-        own = _lines_of(spark, name, loose) if loose else None
         if boxed:
             in_zip = packed.join(files.filter(F.col("fmt") == name).select("file"), "file", "left_semi")
         if name == "nem":
-            parts = []
-            if loose:
-                parts.append(nem12.read_nem12(spark, loose).unionByName(nem13.parse_lines(own)))
-            if boxed:
-                parts.append(read_nem(in_zip))
-            parsed = _union(parts)
-            flags.append(settle_nem(files, parsed))
+            parts = [nem12.read_nem12(spark, loose)] if loose else []
+            parsed = _union(parts + ([read_nem(name, in_zip)] if boxed else []))
         else:
-            lines = _union([x for x in ([own] if loose else []) + ([in_zip] if boxed else [])])
+            lines = _union(([_lines_of(spark, name, loose)] if loose else []) + ([in_zip] if boxed else []))
+            if name == "nem13":
+                readings.append(read_nem(name, lines))
+                continue
             lines, broken = _decoded_heads(name, lines)
             parsed = read_layout(name, lines)
             if broken is not None:

@@ -11,17 +11,21 @@ from meterlake.sources.layouts import BY_NAME, LAYOUTS, NO_DEMAND_DATA
 
 NEM_HEAD = f'^{BOM}?\\s*"?(100|200|250|300)"?\\s*,'
 ENVELOPE = "^100,NEM1[23],"
+ACCUMULATION = f'^{BOM}?\\s*"?100"?\\s*,\\s*"?NEM13"?'
+NEM = ("nem", "nem13")
 
 
 def classify(heads: DataFrame) -> DataFrame:
     """First matching layout per file, from its name and first lines only.
 
-    A file that starts like a meter-data envelope is ``nem``; whether it really
-    holds readings is settled when it is parsed. ``status`` is set for files
+    A file that starts like a meter-data envelope is ``nem`` (interval data) or
+    ``nem13`` (accumulation data, by its header); whether it really holds
+    readings is settled when it is parsed. ``status`` is set for files
     whose fate is clear already: archived, recognised as empty, or broken.
     """
     is_nem = F.exists("head", lambda line: line.rlike(NEM_HEAD))
-    fmt = F.when(is_nem, F.lit("nem"))
+    is_nem13 = F.exists("head", lambda line: line.rlike(ACCUMULATION))
+    fmt = F.when(is_nem13, F.lit("nem13")).when(is_nem, F.lit("nem"))
     for layout in LAYOUTS:
         fmt = fmt.when(F.coalesce(layout.gate(), F.lit(False)), F.lit(layout.name))
 
@@ -94,15 +98,15 @@ def read_layout(name: str, lines: DataFrame) -> DataFrame:
     return readings.join(content_flags(name, lines).select("file"), "file", "left_anti")
 
 
-def read_nem(lines: DataFrame) -> DataFrame:
-    """Interval and accumulation records of meter-data files."""
-    return nem12.parse_lines(lines).unionByName(nem13.parse_lines(lines))
+def read_nem(name: str, lines: DataFrame) -> DataFrame:
+    """Readings of lines that all belong to meter-data files of one version."""
+    return nem13.parse_lines(lines) if name == "nem13" else nem12.parse_lines(lines)
 
 
 def settle_nem(files: DataFrame, readings: DataFrame) -> DataFrame:
     """Files that looked like meter data but hold no reading: empty or not ours."""
     filled = readings.filter(F.col("t_start").isNotNull()).select("file").distinct()
-    nem = files.filter(F.col("fmt") == "nem").join(filled, "file", "left_anti")
+    nem = files.filter(F.col("fmt").isin(*NEM) & F.col("status").isNull()).join(filled, "file", "left_anti")
     return nem.select(
         "file",
         F.when(F.col("envelope"), F.lit("processed_empty")).otherwise(F.lit("parse_failed")).alias("status"),
