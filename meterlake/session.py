@@ -46,7 +46,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("meterlake.scratch", base)
     return f"{base.rstrip('/')}/meterlake/{name}-{uuid.uuid4().hex}"
 
 

@@ -99,18 +99,6 @@ def read_zipped_lines(spark: SparkSession, paths: str | list[str], chunk: int =
     return files.mapInPandas(unpack, LINES_DDL)
 
 
-def read_zipped_or_plain(spark: SparkSession, zips: list[str], plain: list[str]) -> DataFrame:
-    parts = []
-    if zips:
-        parts.append(read_zipped_lines(spark, zips))
-    if plain:
-        parts.append(read_lines(spark, plain))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def heads(lines: DataFrame) -> DataFrame:
     """One row per file: its first lines and whether its first bytes hold a NUL.
 
