@@ -14,10 +14,8 @@ from meterlake.workload.feeds import (
     MAP_SQL,
     METER_SQL,
     file_name,
-    meter_events,
     meter_map,
     nem12_blocks,
-    nem12_days,
     nem12_lines,
     pick,
     table,
