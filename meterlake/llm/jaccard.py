@@ -7,8 +7,8 @@ search reads only these short lists. Candidates are then settled leader by leade
 candidates are divided, the short ones are merged by a heap, and the long ones are probed by binary search for the
 candidates whose count can still reach what is required.
 
-Documents with equal sets are one class. Long lists are not joined with themselves: some members lead, the rest meet
-only the leaders, and what has come together in one component is not compared again. Rounds go on, with more leaders
+Documents with equal sets are one class. Long lists are not joined with themselves: some members lead, those with the
+fewest elements of their own first, as they lie in the middle of their copies; the rest meet only the leaders, and what has come together in one component is not compared again. Rounds go on, with more leaders
 each, until every list is one component or all members outside its largest one have led, so no link between components
 is lost.
 """
@@ -31,7 +31,7 @@ from meterlake.llm.common import staged, texts
 from meterlake.llm.fingerprints import BASE, Codes, as_table, code_words, dealt, in_order, mixed, ranks_of, rolling, tally
 from meterlake.llm.graph import components
 
-SETS = "doc_id long, n long, cls binary, tokens array<long>, hashes binary"
+SETS = "doc_id long, n long, m long, cls binary, tokens array<long>, hashes binary"
 
 
 @dataclass(frozen=True)
@@ -113,7 +113,8 @@ def divide_skip(query: np.ndarray, block: list[np.ndarray], need: list[int], pro
 
 
 def sets_of(docs: DataFrame, settings: Settings) -> DataFrame:
-    """Per document: number of shingles, class (digest of the set), indexed shingles, and the set where there are any."""
+    """Per document: number of shingles ``n``, of those that others have too ``m``, class (digest of the set), indexed
+    shingles, and the set where there are any."""
     batches = dealt(docs)
 
     def parts(table: pa.Table) -> list[np.ndarray]:
@@ -135,11 +136,13 @@ def sets_of(docs: DataFrame, settings: Settings) -> DataFrame:
             rank = ranks[at : at + len(own)]
             at += len(own)
             if not len(own):
-                rows.append((doc, 0, None, [], None))
+                rows.append((doc, 0, 0, None, [], None))
                 continue
+            shared = int((rank > 0).sum())
             rare = np.lexsort((own, rank))[: prefix_length(len(own), settings.percent)]
-            tokens = own[rare[rank[rare] > 0]].view(np.int64).tolist()
-            rows.append((doc, len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest(), tokens, own.tobytes() if tokens else None))
+            # with too few elements that any other document has, no link is possible
+            tokens = own[rare[rank[rare] > 0]].view(np.int64).tolist() if 100 * shared >= settings.percent * len(own) else []
+            rows.append((doc, len(own), shared, hashlib.blake2b(own.tobytes(), digest_size=16).digest(), tokens, own.tobytes() if tokens else None))
         return as_table(rows, SETS)
 
     answers = tally(batches, keys, rank_of)
@@ -180,10 +183,10 @@ def join_near(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     smallest; repeated rows belong to one class.
     """
     found = staged(sets_of(docs, settings), "jaccard-sets")
-    classes = found.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("class_id"), F.min(F.when(F.size("tokens") > 0, F.struct("n", "tokens", "hashes"))).alias("s"))
-    classes = staged(classes.select("cls", "class_id", "s.n", "s.tokens", "s.hashes"), "jaccard-classes")
+    classes = found.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("class_id"), F.min(F.when(F.size("tokens") > 0, F.struct("n", "m", "tokens", "hashes"))).alias("s"))
+    classes = staged(classes.select("cls", "class_id", "s.n", "s.m", "s.tokens", "s.hashes"), "jaccard-classes")
     sets = classes.filter("hashes is not null").select("cls", "n", "hashes")
-    lists = classes.filter("hashes is not null").select("cls", "n", F.explode("tokens").alias("token"))
+    lists = classes.filter("hashes is not null").select("cls", "n", "m", F.posexplode("tokens").alias("k", "token")).withColumn("rest", (F.col("m") - F.col("k")).cast("long")).drop("k")
     sizes = lists.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1").select(F.col("token").alias("t"))
     lists = staged(lists.join(sizes, F.col("token") == F.col("t")).drop("t"), "jaccard-lists")
 
@@ -198,13 +201,18 @@ def join_near(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         waiting = open_lists.filter((F.col("comp") != F.col("main")) | (F.col("k") == 1))
         if led is not None:
             waiting = waiting.join(led, ["token", "cls"], "left_anti")
-        place = F.row_number().over(Window.partitionBy("token").orderBy("cls"))
-        leaders = staged(waiting.withColumn("place", place).filter(F.col("place") <= count).select("token", "cls", "n", "comp"), "jaccard-leaders")
+        place = F.row_number().over(Window.partitionBy("token").orderBy(F.col("n") - F.col("m"), "cls"))
+        leaders = staged(waiting.withColumn("place", place).filter(F.col("place") <= count).select("token", "cls", "n", "rest", "comp"), "jaccard-leaders")
         if leaders.isEmpty():
             break
         led = leaders.select("token", "cls") if led is None else led.unionByName(leaders.select("token", "cls"))
-        heads = leaders.select(F.col("token").alias("t"), F.col("cls").alias("leader"), F.col("n").alias("ln"), F.col("comp").alias("lc"))
-        near = (F.least("n", "ln") * 100 >= F.greatest("n", "ln") * settings.percent) & (F.col("comp") != F.col("lc"))
+        heads = leaders.select(F.col("token").alias("t"), F.col("cls").alias("leader"), F.col("n").alias("ln"), F.col("rest").alias("lr"), F.col("comp").alias("lc"))
+        # of the first element that two have in common, neither the sizes nor what comes after it rule the overlap out
+        near = (
+            (F.least("n", "ln") * 100 >= F.greatest("n", "ln") * settings.percent)
+            & ((F.col("n") + F.col("ln")) * settings.percent <= F.least("rest", "lr") * (100 + settings.percent))
+            & (F.col("comp") != F.col("lc"))
+        )
         met = open_lists.join(heads, F.col("token") == F.col("t")).filter(near)
         # a pair of two leaders is settled once
         pairs = met.select(F.least("leader", "cls").alias("x"), F.greatest("leader", "cls").alias("y"), "leader").groupBy("x", "y").agg(F.min("leader").alias("leader"))
@@ -212,7 +220,7 @@ def join_near(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         new = staged(links_of(pairs, sets, settings), "jaccard-links")
         linked = new if roots is None else new.unionByName(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = staged(components(linked), "jaccard-roots")
-        live = lists.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "n", "token", F.coalesce("root", "cls").alias("comp"))
+        live = lists.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "n", "m", "rest", "token", F.coalesce("root", "cls").alias("comp"))
         count *= 8
 
     ids = classes.select("cls", "class_id")
