@@ -13,10 +13,11 @@ NTZ = "timestamp_ntz"
 
 
 def parse_any(text: Column, patterns: list[str]) -> Column:
-    """First pattern that reads the trimmed text, else NULL."""
-    trimmed = F.trim(text)
-    tries = [F.try_to_timestamp(trimmed, F.lit(p)) for p in patterns]
-    return F.coalesce(*tries).cast(NTZ)
+    """First pattern that reads the trimmed text, else NULL. Read as UTC and counted from the epoch, whatever the session's zone."""
+    marked = F.concat(F.trim(text), F.lit(" +00:00"))
+    seconds = F.unix_seconds(F.coalesce(*(F.try_to_timestamp(marked, F.lit(f"{p} XXX")) for p in patterns)))
+    days = F.floor(seconds / 86400).cast("int")
+    return F.lit("1970-01-01").cast(NTZ) + F.make_dt_interval(days, F.lit(0), F.lit(0), F.pmod(seconds, F.lit(86400)).cast("decimal(18,6)"))
 
 
 # Timestamp patterns per layout.

@@ -25,12 +25,13 @@ def off_cadence(
     and row groups; the list joins as a semi join of any size.
     """
     rows = lake.filter(F.col("its_year").isin(list(years)) & ~F.minute("ts").isin(list(legit_minutes)))
+    month = F.col("its_year") * 12 + F.col("its_month")
     if start:
         first = F.lit(start).cast("timestamp_ntz")
-        rows = rows.filter((F.col("ts") >= first) & (F.col("its_year") >= F.year(first)))
+        rows = rows.filter((F.col("ts") >= first) & (F.col("its_year") >= F.year(first)) & (month >= F.year(first) * 12 + F.month(first)))
     if end:
         last = F.lit(end).cast("timestamp_ntz")
-        rows = rows.filter((F.col("ts") < last) & (F.col("its_year") <= F.year(last)))
+        rows = rows.filter((F.col("ts") < last) & (F.col("its_year") <= F.year(last)) & (month <= F.year(last) * 12 + F.month(last)))
     wanted = sensors.select(F.col(sensors.columns[0]).alias("sensorId"))
     return rows.join(wanted, "sensorId", "left_semi")
 

@@ -15,11 +15,11 @@ from meterlake.sources.layouts import LAYOUTS
 SAMPLE_CAP = 100
 # Folder per status.
 DESTINATIONS = {
-    "processed": "newP/",
-    "processed_empty": "newP/",
-    "processed_external": "newP/",
-    "unmapped": "newIrrevFiles/",
-    "parse_failed": "newParseErr/",
+    "processed": "processed/",
+    "processed_empty": "processed/",
+    "processed_external": "processed/",
+    "unmapped": "unmapped/",
+    "parse_failed": "failed/",
 }
 
 
@@ -237,8 +237,9 @@ def audit(outcomes: DataFrame, samples: DataFrame, identifiers: DataFrame) -> Da
 
 
 def write_audit(documents: DataFrame, path: str, batch: str) -> None:
-    """One text line per document under a folder per batch."""
-    documents.select(F.lit(batch).alias("batch"), "value").write.mode("append").partitionBy("batch").text(path)
+    """One text line per document under a folder per batch; a batch that is written again replaces its own."""
+    rows = documents.select(F.lit(batch).alias("batch"), "value").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows.partitionBy("batch").text(path)
 
 
 def run_metrics(outcomes: DataFrame) -> DataFrame:

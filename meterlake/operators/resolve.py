@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.identifiers import is_direct
 
-IDENTIFIER_CAP = 100
-
-
 def resolve(readings: DataFrame, mapping: DataFrame) -> DataFrame:
     """Adds ``sensor_id``; NULL where the map has no entry.
 
@@ -38,20 +35,22 @@ def unmapped(resolved: DataFrame) -> DataFrame:
     return resolved.filter(F.col("skip_reason").isNull() & F.col("sensor_id").isNull())
 
 
-def unmapped_identifiers(resolved: DataFrame) -> DataFrame:
-    """Per file the distinct unmapped identifiers, sorted, at most 100 listed.
+def unmapped_keys(resolved: DataFrame) -> DataFrame:
+    """``file, id_kind, lookup_key``: all distinct unmapped identifiers as rows."""
+    return unmapped(resolved).select("file", "id_kind", "lookup_key").distinct()
+
 
-    Duplicates go before the shuffle, and the row-number limit also runs in
-    every map task, so a file with millions of unknown meters stays small.
+def unmapped_identifiers(resolved: DataFrame, limit: int | None = None) -> DataFrame:
+    """Per file the distinct unmapped identifiers, sorted; the first ``limit`` of them if one is asked for.
+
+    Duplicates go before the shuffle, and a limit also runs in every map task.
     """
-    ids = unmapped(resolved).select("file", "id_kind", "lookup_key").distinct()
-    order = W.partitionBy("file").orderBy("id_kind", "lookup_key")
-    return (
-        ids.withColumn("n", F.row_number().over(order))
-        .filter(F.col("n") <= IDENTIFIER_CAP)
-        .groupBy("file")
-        .agg(F.array_sort(F.collect_list(F.struct("id_kind", "lookup_key"))).alias("unmapped_identifiers"))
-    )
+    ids = unmapped_keys(resolved)
+    if limit is not None:
+        order = W.partitionBy("file").orderBy("id_kind", "lookup_key")
+        ids = ids.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= limit)
+    listed = F.array_sort(F.collect_list(F.struct("id_kind", "lookup_key")))
+    return ids.groupBy("file").agg(listed.alias("unmapped_identifiers"))
 
 
 def to_lake(resolved: DataFrame, arrived=None) -> DataFrame:

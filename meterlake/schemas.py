@@ -64,7 +64,7 @@ REASONS = (
     "all_zero_valid",
     "all_unknown_suffix",
     "all_skipped",
-    "external_gegoptimareports",
+    "external_archive",
     "parser_error",
     "processing_error",
 )

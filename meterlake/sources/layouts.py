@@ -540,7 +540,7 @@ LAYOUTS: list[Layout] = [
         "archived_billing",
         lambda: _not_generation() & _named("RACV-Usage and Spend Report"),
         status="processed_external",
-        reason="external_gegoptimareports",
+        reason="external_archive",
     ),
     Layout(
         "billing",

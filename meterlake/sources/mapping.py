@@ -12,13 +12,13 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
     """``(lookup_key, sensor_id, age_seconds)`` of a JSON map file.
 
     The file is one JSON object of about a megabyte; it is read whole by one
-    task and exploded there.
+    task and exploded there. Of a repeated key the last entry counts.
     """
     text = spark.read.option("wholetext", True).text(path)
     age = F.unix_seconds(F.current_timestamp()) - F.unix_seconds(F.col("_metadata.file_modification_time"))
     return text.select(
-        age.alias("age_seconds"), F.explode(F.from_json("value", "map<string,string>")).alias("lookup_key", "sensor_id")
-    ).select("lookup_key", "sensor_id", "age_seconds")
+        age.alias("age_seconds"), F.posexplode(F.from_json("value", "map<string,string>")).alias("place", "lookup_key", "sensor_id")
+    ).groupBy("lookup_key").agg(F.max_by("sensor_id", "place").alias("sensor_id"), F.max("age_seconds").alias("age_seconds"))
 
 
 OBJECT_KEYS = 100_000

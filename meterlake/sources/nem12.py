@@ -27,6 +27,9 @@ from meterlake.schemas import IGNORED, conform
 
 FMT = "nem12"
 BLOCK_SEPARATOR = "\n200,"
+# An indicator may be quoted, or have blanks around it.
+KINDS = "[ \\t]*(200|300|400|900)[ \\t]*"
+INDICATOR = rf'\n(?:"{KINDS}"|{KINDS})(?:,|(?=\r?\n|\z))'
 
 
 def _context(fields):
@@ -55,17 +58,23 @@ def read_blocks(spark: SparkSession, paths: str | list[str]) -> DataFrame:
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").cast("long").alias("split"),
             F.monotonically_increasing_id().alias("pos"),
-            F.substring_index(F.regexp_replace("value", f"^{BOM}?200,", ""), "\n900", 1).alias("block"),
+            F.regexp_replace("value", f"^{BOM}", "").alias("value"),
         )
     )
+    # A separator that was missed only glues blocks together: indicators get one form, then each piece is cut again.
+    headed = F.col("value").rlike(r'^("[ \t]*[12]00[ \t]*"|[ \t]*[12]00[ \t]*),')
+    text = F.regexp_replace(F.concat(F.when(headed, F.lit("\n")).otherwise(F.lit(BLOCK_SEPARATOR)), "value"), INDICATOR, "\n$1$2,")
+    blocks = blocks.select("file", "split", "pos", F.explode(F.split(text, BLOCK_SEPARATOR)).alias("block"))
     return days_from_blocks(blocks)
 
 
 def days_from_blocks(blocks: DataFrame) -> DataFrame:
-    """Days of ``(file, split, pos, block)``; a block starts after ``200,``."""
+    """Days of ``(file, split, pos, block)``; a block starts after ``200,``. Days after a 900 have no meter."""
+    blocks = blocks.select("file", "split", "pos", F.posexplode(F.split("block", "\n900,")).alias("ended", "block"))
     first_line = F.regexp_replace(F.substring_index("block", "\n", 1), "\r$", "")
     parts = F.split("block", "\n300,")
-    opened = blocks.select("file", "split", "pos", cells(first_line).alias("fields"), parts.alias("parts"))
+    fields = F.when(F.col("ended") == 0, cells(first_line)).otherwise(F.array().cast("array<string>"))
+    opened = blocks.select("file", "split", "pos", fields.alias("fields"), parts.alias("parts"))
     chunks = opened.select(
         "file",
         "split",

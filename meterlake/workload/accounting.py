@@ -64,7 +64,7 @@ UNMAPPED_SQL = f"""WITH x AS ({RESOLVE_SQL}),
 d AS (SELECT DISTINCT 'meter-' || (user_id % 20) || '.csv' AS file, lookup_key
   FROM x JOIN events USING (event_id) WHERE sensor_id IS NULL),
 n AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY lookup_key) AS n FROM d)
-SELECT file, lookup_key FROM n WHERE n <= 100"""
+SELECT file, lookup_key FROM n"""
 
 
 def suffix_support(spark, sf):
@@ -124,7 +124,7 @@ def file_outcomes(spark, sf):
 
 FILE_OUTCOMES_SQL = f"""WITH {OUTCOME_SQL}
 SELECT file, status, CASE WHEN status = 'processed_empty' AND unsupported <> '' THEN 'all_unknown_suffix' END AS reason,
-  CASE status WHEN 'unmapped' THEN 'newIrrevFiles/' ELSE 'newP/' END AS dest, candidate_row_count, rows_written,
+  CASE status WHEN 'unmapped' THEN 'unmapped/' ELSE 'processed/' END AS dest, candidate_row_count, rows_written,
   unmapped_count, rows_skipped, mapped_points, unsupported FROM outcomes"""
 
 
@@ -180,7 +180,7 @@ b AS (
 k AS (SELECT b.* FROM b ANTI JOIN m USING (user_id, s, day, slot)),
 n AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY row, slot) AS n FROM k)
 SELECT file, n, row, suffix || '_' || CASE WHEN uom = '' THEN 'kWh' ELSE uom END AS channel, 'blank_value' AS reason
-FROM n WHERE n <= 100"""
+FROM n"""
 
 
 def audit_documents(spark, sf):
@@ -203,7 +203,7 @@ DOCUMENTS_SQL = f"""WITH {OUTCOME_SQL},
 i AS (SELECT file, count(*) AS ids FROM c LEFT JOIN mm ON lookup_key = nmi || '-' || suffix
   WHERE sensor_id IS NULL AND suffix <> 'X9' GROUP BY file)
 SELECT file, file || '.skipped.json' AS audit_name, status, least(rows_skipped, 100) + CASE WHEN rows_skipped > 100 THEN 1 ELSE 0 END AS samples,
-  CASE WHEN rows_skipped > 100 THEN rows_skipped END AS total_skipped, least(coalesce(ids, 0), 100) AS identifiers
+  CASE WHEN rows_skipped > 100 THEN rows_skipped END AS total_skipped, coalesce(ids, 0) AS identifiers
 FROM outcomes LEFT JOIN i USING (file) WHERE rows_skipped > 0 OR unmapped_count > 0 OR unsupported <> ''"""
 
 

@@ -282,7 +282,7 @@ POINT_SUMMARY_SQL = f"""SELECT count(*) AS points, count(DISTINCT identifier) AS
 
 def _files(spark, sf):
     """Orders as files of four prefixes, some archived already."""
-    folder = pick(["newP", "newIrrevFiles", "newParseErr", "newP/archived/2024-W01"], F.col("o_orderkey") % 4)
+    folder = pick(["processed", "unmapped", "failed", "processed/archived/2024-W01"], F.col("o_orderkey") % 4)
     return table(spark, sf, "orders").select(
         F.concat(folder, F.lit("/f"), F.col("o_orderkey"), F.lit(".csv")).alias("path"),
         F.col("o_totalprice").cast("long").alias("size"),
@@ -291,7 +291,7 @@ def _files(spark, sf):
 
 
 FILES_SQL = """
-files AS (SELECT (['newP','newIrrevFiles','newParseErr','newP/archived/2024-W01'])[1 + o_orderkey % 4] AS prefix, o_orderkey,
+files AS (SELECT (['processed','unmapped','failed','processed/archived/2024-W01'])[1 + o_orderkey % 4] AS prefix, o_orderkey,
   o_orderdate AS modified, strftime(o_orderdate, '%G-W%V') AS iso_week FROM orders)
 """
 

@@ -438,7 +438,7 @@ HEADS = [
     ("w{}.csv", ["Serial_No,Interval_Start,Interval_End,Consumption,Consumption Unit", "1,a,b,2,kL"], "envizi_water", None, None),
     ("e{}.csv", ["Serial_No,Interval_Start,Interval_End,kWh", "1,a,b,2"], "envizi_electricity", None, None),
     ("k{}.csv", ["Report", "x", "Date,Start Time,M1 kWh", "2024-01-01,00:30,1"], "wide_kwh", None, None),
-    ("RACV-Usage and Spend Report {}.csv", ["anything"], "archived_billing", "processed_external", "external_gegoptimareports"),
+    ("RACV-Usage and Spend Report {}.csv", ["anything"], "archived_billing", "processed_external", "external_archive"),
     ("Bunnings-Usage and Spend Report {}.csv", ["?"], "billing", None, None),
     ("Demand_Profile_{}.csv", DEMAND_TOP, "demand", None, None),
     ("i{}.csv", [INTERVAL_HEADER, "a"], "interval", None, None),

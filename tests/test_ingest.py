@@ -80,7 +80,7 @@ def test_outcome_of_every_file(spark, folder, mapping):
         "RACV_Noosa_Solar 1.csv": ("processed", None, 3, 0, 0),
         "RACV_Noosa_Solar 2.csv": ("parse_failed", "parser_error", 0, 0, 0),
         "logger.csv": ("processed", None, 1, 0, 0),
-        "RACV-Usage and Spend Report.csv": ("processed_external", "external_gegoptimareports", 0, 0, 0),
+        "RACV-Usage and Spend Report.csv": ("processed_external", "external_archive", 0, 0, 0),
         "Meter_Data_WA (AU)_Electricity_1.csv": ("processed_empty", "no_data_sentinel", 0, 0, 0),
         "mystery.csv": ("parse_failed", "parser_error", 0, 0, 0),
         "Bunnings-Usage and Spend Report.csv": ("processed", None, 23, 0, 1),

@@ -110,7 +110,10 @@ def test_rejected_days_are_counted_not_lost(spark, folder):
     (folder / "a.csv").write_text(AWKWARD)
     bad = nem12.read_nem12(spark, str(folder)).filter(F.col("t_start").isNull())
     got = {r["skip_reason"]: r["count"] for r in bad.groupBy("skip_reason").count().collect()}
-    assert got == {"row_anchor_failure": 2, "row_shape_mismatch": 1, "unparseable_timestamp": 1}
+    # the third without a meter comes after a 900
+    assert got == {"row_anchor_failure": 3, "row_shape_mismatch": 1, "unparseable_timestamp": 1}
+    by_line = nem12.parse_lines(read_lines(spark, str(folder / "a.csv"))).filter(F.col("t_start").isNull())
+    assert got == {r["skip_reason"]: r["count"] for r in by_line.groupBy("skip_reason").count().collect()}
     assert nem12.strict(nem12.read_nem12(spark, str(folder))).count() == 0
 
 
@@ -191,3 +194,56 @@ def test_energy_survives_a_new_grid(spark):
         out = series.regrid(df, minutes)
         assert abs(out.agg(F.sum("val")).first()[0] - total) < 1e-6
         assert out.count() == 3000 // minutes
+
+
+QUOTED = """100,NEM12,202401010000,A,B
+200,N1,E1,1,E1,,S1,kWh,30,
+300,20240101,{v},A,,,20240102000000,
+"200","N2","E1","1","E1",,"S2","kWh","30",
+"300",20240101,{v},A,,,20240102000000,
+ 300,20240102,{v},V,,,20240103000000,
+ 400,1,10,F14,76,
+900
+300,20240103,{v},A,,,20240104000000,
+200,N3,E1,1,E1,,S3,kWh,30,
+300,20240101,{v},A,,,20240102000000,
+900
+"""
+
+
+def test_quoted_and_indented_records_keep_their_meter(spark, folder):
+    """Both readers, every slot and marker row."""
+    text = QUOTED.replace("{v}", ",".join(str(i / 10) for i in range(48)))
+    (folder / "quoted.csv").write_text(text)
+    columns = [*KEYS, "skip_reason"]
+    every = lambda df: sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+    by_block = every(nem12.read_nem12(spark, str(folder / "quoted.csv")))
+    assert by_block == every(nem12.parse_lines(read_lines(spark, str(folder / "quoted.csv"))))
+    count = lambda nmi: sum(r[0] == nmi and r[2] is not None for r in by_block)
+    assert (count("N1"), count("N2"), count("N3")) == (48, 96, 48)
+
+
+def test_last_entry_of_a_repeated_key_counts(spark, folder):
+    from meterlake.sources.mapping import read_mapping
+
+    (folder / "map.json").write_text('{"a": "s1", "b": "s2", "a": "s3"}')
+    assert {(r.lookup_key, r.sensor_id) for r in read_mapping(spark, str(folder / "map.json")).collect()} == {("a", "s3"), ("b", "s2")}
+
+
+def test_stamps_do_not_depend_on_the_session_zone(spark):
+    from meterlake.functions.stamps import ISO_PATTERNS, billing_month, parse_any
+
+    frame = spark.createDataFrame([("2024-10-06 02:30", "Mar 2026"), (" 1969-12-31 23:59:59 ", "x")], "s string, m string")
+    for zone in ("Australia/Sydney", "UTC"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        got = frame.select(parse_any(F.col("s"), ISO_PATTERNS).alias("s"), billing_month(F.col("m")).alias("m")).collect()
+        assert [tuple(r) for r in got] == [(dt.datetime(2024, 10, 6, 2, 30), dt.datetime(2026, 3, 1)), (dt.datetime(1969, 12, 31, 23, 59, 59), None)]
+
+
+def test_a_replayed_batch_replaces_its_audit_documents(spark, folder):
+    from meterlake.operators.outcome import write_audit
+
+    documents = spark.createDataFrame([("{}",), ("[]",)], "value string")
+    for batch in ("1", "2", "1"):
+        write_audit(documents, str(folder / "audit"), batch)
+    assert spark.read.text(str(folder / "audit")).count() == 4
