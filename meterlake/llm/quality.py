@@ -183,6 +183,7 @@ def nearest(rows: DataFrame, share: float) -> DataFrame:
     upto = Window.partitionBy("g").orderBy("slice")
     cuts = counts.select("g", "slice", F.coalesce(F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("below"), F.sum("n").over(Window.partitionBy("g")).alias("all"))
     cuts = cuts.filter(F.col("below") < share * F.col("all")).groupBy("g").agg(F.max("slice").alias("last")).withColumnRenamed("g", "cg")
+    cuts = staged(cuts, "quality-cuts")  # one row per group, so that no join gathers a group's rows by its key
     return sliced.join(cuts, F.col("g") == F.col("cg")).filter("slice <= last").select(*rows.columns)
 
 
