@@ -218,10 +218,12 @@ def join_near(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         pairs = met.select(F.least("leader", "cls").alias("x"), F.greatest("leader", "cls").alias("y"), "leader").groupBy("x", "y").agg(F.min("leader").alias("leader"))
         pairs = pairs.select("leader", F.when(F.col("leader") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("member"))
         new = staged(links_of(pairs, sets, settings), "jaccard-links")
+        count *= 8
+        if new.isEmpty():  # the components stay as they are
+            continue
         linked = new if roots is None else new.unionByName(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = staged(components(linked), "jaccard-roots")
         live = lists.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "n", "m", "rest", "token", F.coalesce("root", "cls").alias("comp"))
-        count *= 8
 
     ids = classes.select("cls", "class_id")
     if roots is None:
