@@ -7,7 +7,7 @@ a time, as with any copy-on-write table without a transaction log.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.operators.dedupe import KEYS, last_write_wins
@@ -15,6 +15,8 @@ from meterlake.session import staged
 
 PARTITIONS = ["its_year", "its_month"]
 PROVENANCE = ["file", "split", "pos"]
+REJECT = "__reject"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def with_partitions(df: DataFrame, stamp: str = "ts") -> DataFrame:
@@ -38,7 +40,9 @@ def without(stored: DataFrame, gone: DataFrame, keys: list[str] | None = None) -
 
 
 def _touched(df: DataFrame, partitions: list[str]) -> list:
-    """Distinct partition values: calendar months, so few by nature."""
+    """Distinct partition values: calendar months, so few by nature. A plain table is one partition."""
+    if not partitions:
+        return df.limit(1).collect()
     return df.select(*partitions).distinct().collect()
 
 
@@ -48,19 +52,31 @@ def write(df: DataFrame, path: str, partitions: list[str] | None = None, keys: l
     Rebalancing splits a heavy month over several tasks and packs light ones
     together; files are sorted by key, so their statistics prune by sensor.
     """
-    partitions, keys = partitions or PARTITIONS, keys or KEYS
-    (
+    partitions, keys = PARTITIONS if partitions is None else partitions, keys or KEYS
+    writer = (
         df.hint("rebalance", *partitions)
         .sortWithinPartitions(*partitions, *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
     )
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+
+
+def _complete(columns: list[str]) -> Column:
+    """Whether none of the columns is NULL."""
+    return F.lit(True) if not columns else ~F.exists(F.array(*[F.col(c).isNull() for c in columns]), lambda null: null)
+
+
+def _reject(rows: DataFrame, path: str) -> None:
+    """Write rows without a key beside the table; the same rows land in the same folder, so a repeated batch adds none."""
+    n, digest = rows.agg(F.count("*"), F.sum(F.col(REJECT).cast("decimal(38,0)"))).first()
+    if n:
+        rows.drop(REJECT).write.mode("overwrite").parquet(f"{path.rstrip('/')}_rejected/batch={n}x{abs(digest)}")
 
 
 def _folder(path: str, partitions: list[str], row) -> str:
-    return "/".join([path.rstrip("/"), *[f"{p}={row[p]}" for p in partitions]])
+    values = [NO_VALUE if row[p] is None else row[p] for p in partitions]
+    return "/".join([path.rstrip("/"), *[f"{p}={v}" for p, v in zip(partitions, values, strict=True)]])
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -90,18 +106,26 @@ def upsert(
 ) -> int:
     """Insert or replace by key; the newest row of a batch wins, the batch wins over the table.
 
+    Rows with a NULL in the key or the partition go to ``<path>_rejected``, equal
+    ones once, as no later batch could replace them. With ``partitions=[]`` the table is
+    plain and rewritten as a whole. The merged rows are written to the scratch
+    folder first, so that a commit that fails can be repeated from there.
     Returns the number of rows written by key. Running the same batch again
     changes nothing.
     """
-    keys, partitions = keys or KEYS, partitions or PARTITIONS
+    keys, partitions = keys or KEYS, PARTITIONS if partitions is None else partitions
+    whole = _complete([*keys, *[p for p in partitions if p not in keys]])
     order = order or [c for c in ["ats", *PROVENANCE] if c in incoming.columns]
-    newest = last_write_wins(incoming, keys, order)
-    batch = staged(newest.drop(*PROVENANCE), "batch")
+    # rows without a key are told apart by their content, so that they neither replace each other nor meet in one task
+    told = incoming.withColumn(REJECT, F.when(~whole, F.xxhash64(*incoming.columns)))
+    newest = staged(last_write_wins(told, [*keys, REJECT], order).drop("split", "pos"), "batch")
+    batch = newest.filter(F.col(REJECT).isNull()).drop(REJECT, *PROVENANCE)
+    _reject(newest.filter(F.col(REJECT).isNotNull()), path)
     touched = _touched(batch, partitions)
     if not touched:
         return 0
     old = stored(spark, path, touched, partitions)
-    write(batch if old is None else merged(old, batch, keys), path, partitions, keys)
+    write(batch if old is None else staged(merged(old, batch, keys), "merged"), path, partitions, keys)
     return batch.count()
 
 
@@ -117,9 +141,9 @@ def delete(
     keys: list[str] | None = None,
     partitions: list[str] | None = None,
 ) -> int:
-    """Delete by key; ``gone`` carries the keys and the partition columns."""
-    keys, partitions = keys or KEYS, partitions or PARTITIONS
-    doomed = staged(gone.select(*keys, *[p for p in partitions if p not in keys]), "delete-keys")
+    """Delete by key; ``gone`` carries the keys and the partition columns. NULL keys are in no table and delete nothing."""
+    keys, partitions = keys or KEYS, PARTITIONS if partitions is None else partitions
+    doomed = staged(gone.filter(_complete(keys)).select(*keys, *[p for p in partitions if p not in keys]), "delete-keys")
     touched = _touched(doomed, partitions)
     if not touched:
         return 0
@@ -128,6 +152,8 @@ def delete(
         return 0
     left = staged(without(old, doomed, keys), "survivors")
     write(left, path, partitions, keys)
+    if not partitions:
+        return doomed.count()
     # A dynamic overwrite leaves a partition alone when no row of it is left.
     filled = {tuple(r) for r in left.select(*partitions).distinct().collect()}
     empty = left.drop(*partitions).limit(0)

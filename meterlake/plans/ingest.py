@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.text import decode_key
@@ -13,9 +14,9 @@ from meterlake.operators import lake, outcome, resolve
 from meterlake.schemas import READINGS
 from meterlake.session import staged
 from meterlake.sources import nem12
-from meterlake.sources.classify import NEM, classify, content_flags, read_layout, read_nem, settle_nem
+from meterlake.sources.classify import NEM, classify, content_flags, read_layout, read_nem, rivals, settle_nem
 from meterlake.sources.layouts import BY_NAME
-from meterlake.sources.lines import headers, heads, read_lines, read_utf16_lines, read_zipped_lines
+from meterlake.sources.lines import LINES_DDL, headers, heads, read_lines, read_utf16_lines, read_zipped_lines
 from meterlake.sources.tables import manifest
 
 # Limits of one run.
@@ -48,13 +49,31 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _classified(tops: DataFrame, lines_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The layout of every file; one that only looks like meter data falls through to its vendor layout.
+
+    ``lines_of`` gives the lines of a few files.
+    """
+    tops = staged(tops, "heads")
+    files = staged(classify(tops), "files")
+    doubtful = staged(rivals(files, tops), "rivals")
+    if doubtful.isEmpty():
+        return files
+    for name in NEM:
+        held = read_nem(name, lines_of(doubtful.filter(F.col("meter") == name).select("file")))
+        held = held.filter(F.col("t_start").isNotNull()).select("file").distinct()
+        doubtful = doubtful.join(held, "file", "left_anti")
+    fallen = doubtful.drop("meter")
+    return staged(files.join(fallen, "file", "left_anti").unionByName(fallen), "files")
+
+
 def ingest_lines(lines: DataFrame, mapping: DataFrame, formats: list[str] | None = None) -> Ingested:
     """Ingest lines that are already a DataFrame, of any mix of layouts.
 
     The classification, one row per file, and the resolved readings are
     written once, since several results read each of them.
     """
-    files = staged(classify(heads(lines)), "files")
+    files = _classified(heads(lines), lambda few: lines.join(few, "file", "left_semi"))
     readings, flags = [], []
     for name in formats or [*NEM, *[x.name for x in BY_NAME.values() if x.parse is not None]]:
         live = files.filter((F.col("fmt") == name) & F.col("status").isNull()).select("file")
@@ -89,28 +108,35 @@ def _account(files: DataFrame, readings: DataFrame, flags: list[DataFrame], mapp
     return Ingested(resolved, outcomes, outcome.skip_samples(resolved), resolve.unmapped_identifiers(resolved))
 
 
+def _path() -> Column:
+    return decode_key(F.replace(F.col("file"), F.lit("+"), F.lit("%2B"))).alias("path")
+
+
 def _paths(files: DataFrame) -> dict[str, list[str]]:
     """Paths per layout. A run is limited to MAX_FILES files, so the list is short."""
-    path = decode_key(F.replace(F.col("file"), F.lit("+"), F.lit("%2B")))
-    rows = files.filter(F.col("status").isNull()).select("fmt", path.alias("path")).collect()
+    rows = files.filter(F.col("status").isNull()).select("fmt", _path()).collect()
     found: dict[str, list[str]] = {}
     for row in rows:
         found.setdefault(row["fmt"], []).append(row["path"])
     return found
 
 
+def _sources(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    """Lines of plain files, and of archives."""
+    zips = [p for p in paths if p.lower().endswith(".zip")]
+    plain = [p for p in paths if not p.lower().endswith(".zip")]
+    return ([read_lines(spark, plain)] if plain else []) + ([read_zipped_lines(spark, zips)] if zips else [])
+
+
 def ingest_files(spark: SparkSession, paths: list[str], mapping: DataFrame) -> Ingested:
     """Ingest up to MAX_FILES files, each layout with its own native reader."""
     if len(paths) > MAX_FILES:
         raise ValueError(f"{len(paths)} files exceed one run of {MAX_FILES}")
     zips = [p for p in paths if p.lower().endswith(".zip")]
-    plain = [p for p in paths if not p.lower().endswith(".zip")]
-    sources = []
-    if plain:
-        sources.append(read_lines(spark, plain))
-    if zips:
-        sources.append(read_zipped_lines(spark, zips))
-    files = staged(_union([classify(heads(s)) for s in sources]), "files")
+    files = _classified(
+        _union([heads(s) for s in _sources(spark, paths)]),
+        lambda few: _union([spark.createDataFrame([], LINES_DDL), *_sources(spark, [r["path"] for r in few.select(_path()).collect()])]),
+    )
     if zips:
         packed = read_zipped_lines(spark, zips)
     by_layout = _paths(files)

@@ -15,7 +15,7 @@ ACCUMULATION = f'^{BOM}?\\s*"?100"?\\s*,\\s*"?NEM13"?'
 NEM = ("nem", "nem13")
 
 
-def classify(heads: DataFrame) -> DataFrame:
+def classify(heads: DataFrame, meter: bool = True) -> DataFrame:
     """First matching layout per file, from its name and first lines only.
 
     A file that starts like a meter-data envelope is ``nem`` (interval data) or
@@ -23,8 +23,8 @@ def classify(heads: DataFrame) -> DataFrame:
     readings is settled when it is parsed. ``status`` is set for files
     whose fate is clear already: archived, recognised as empty, or broken.
     """
-    is_nem = F.exists("head", lambda line: line.rlike(NEM_HEAD))
-    is_nem13 = F.exists("head", lambda line: line.rlike(ACCUMULATION))
+    is_nem = F.lit(meter) & F.exists("head", lambda line: line.rlike(NEM_HEAD))
+    is_nem13 = F.lit(meter) & F.exists("head", lambda line: line.rlike(ACCUMULATION))
     fmt = F.when(is_nem13, F.lit("nem13")).when(is_nem, F.lit("nem"))
     for layout in LAYOUTS:
         fmt = fmt.when(F.coalesce(layout.gate(), F.lit(False)), F.lit(layout.name))
@@ -112,3 +112,14 @@ def settle_nem(files: DataFrame, readings: DataFrame) -> DataFrame:
         F.when(F.col("envelope"), F.lit("processed_empty")).otherwise(F.lit("parse_failed")).alias("status"),
         F.when(F.col("envelope"), F.lit("no_data_sentinel")).otherwise(F.lit("parser_error")).alias("reason"),
     )
+
+
+def rivals(files: DataFrame, tops: DataFrame) -> DataFrame:
+    """Files that look like meter data, carry no envelope and also suit a vendor layout, as that layout, with ``meter``.
+
+    A vendor file whose first column holds 100, 200, 250 or 300 is one. Few files are, so whether they hold a reading
+    can be asked of these alone.
+    """
+    doubtful = files.filter(F.col("fmt").isin(*NEM) & ~F.col("envelope")).select("file", F.col("fmt").alias("meter"))
+    other = classify(tops.join(doubtful, "file", "left_semi"), meter=False).filter(F.col("fmt").isNotNull())
+    return other.join(doubtful, "file")

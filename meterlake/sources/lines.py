@@ -54,16 +54,22 @@ def read_zipped_lines(spark: SparkSession, paths: str | list[str], chunk: int =
 
     Inflation is a stream, so a task holds one archive and one chunk of lines.
     A file that is no archive is read as plain text. An archive with several
-    members, or a broken one, gives one row with a NULL line: a parse failure
-    of that file, not of the job.
+    members, an encrypted or a broken one gives one row with a NULL line and no
+    other: a parse failure of that file, not of the job. So that damage near
+    its end is known before its first line, an archive is inflated twice.
     """
 
     def unpack(batches: Iterator) -> Iterator:
         import io
+        import lzma
         import zipfile
+        import zlib
 
         import pandas as pd
 
+        # encryption and unknown methods are RuntimeErrors
+        broken = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, RuntimeError, EOFError, OSError, ValueError)
+
         def frame(path: str, n: int, rows: list) -> pd.DataFrame:
             first = n * chunk
             return pd.DataFrame(
@@ -79,6 +85,9 @@ def read_zipped_lines(spark: SparkSession, paths: str | list[str], chunk: int =
             members = [m for m in archive.infolist() if not m.is_dir()]
             if len(members) != 1:
                 raise zipfile.BadZipFile("expected exactly one member")
+            with archive.open(members[0]) as whole:
+                while whole.read(1 << 20):
+                    pass
             return archive.open(members[0])
 
         for batch in batches:
@@ -90,7 +99,7 @@ def read_zipped_lines(spark: SparkSession, paths: str | list[str], chunk: int =
                         if len(rows) == chunk:
                             yield frame(path, n, rows)
                             n, rows = n + 1, []
-                except (zipfile.BadZipFile, EOFError, OSError):
+                except broken:
                     rows = [None]
                 if rows:
                     yield frame(path, n, rows)

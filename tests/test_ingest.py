@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,3 +168,61 @@ def test_small_sources(spark, folder):
     with pytest.raises(ValueError):
         read_whitelist(spark, str(folder / "e.txt"))
     assert manifest(spark, str(folder)).count() == 3
+
+
+def test_vendor_file_that_looks_like_meter_data(spark, folder, mapping):
+    """Serial numbers 100, 200, 250 and 300 in the first column, and meter data without an envelope."""
+    for serial in (100, 200, 250, 300, 201):
+        (folder / f"w{serial}.csv").write_text(f"Serial_No,Date_Time,kL\n{serial},2024-01-01T01:00:00,3\n{serial},2024-01-01T02:00:00,4\n")
+    (folder / "bare.csv").write_text("200,N1,E1,1,E1,N1,S,kWh,720,\n300,20240101,1,2,A,,,,\n")
+    done = ingest.ingest_files(spark, [str(p) for p in folder.glob("*.csv")], mapping(**{"N1-E1": "p:n1"}))
+    got = {r["file"].split("/")[-1]: (r["status"], r["rows_skipped"], r["unmapped_count"]) for r in done.outcomes.collect()}
+    like = got.pop("w201.csv")
+    assert like[0] == "unmapped"
+    assert got == {"bare.csv": ("processed", 0, 0), **{f"w{n}.csv": like for n in (100, 200, 250, 300)}}
+
+
+def test_archives_are_whole_or_failed(spark, folder, mapping):
+    text = "100,NEM12,202401010000,A,B\n200,N1,E1,1,E1,N1,S,kWh,30,\n" + "".join(
+        f"300,{dt.date(2015, 1, 1) + dt.timedelta(d):%Y%m%d},{','.join(str((d * 48 + i) % 977 / 8) for i in range(48))},A,,,,\n" for d in range(1500)
+    )
+    with zipfile.ZipFile(folder / "good.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.csv", text)
+    with zipfile.ZipFile(folder / "two.zip", "w") as z:
+        z.writestr("a.csv", text)
+        z.writestr("b.csv", text)
+    good = (folder / "good.zip").read_bytes()
+    late = bytearray(good)
+    late[len(good) * 3 // 4] ^= 0xFF  # inside the compressed data
+    (folder / "late.zip").write_bytes(bytes(late))
+    flags = bytearray(good)
+    flags[6] |= 1  # says that the member is encrypted, in both of its headers
+    flags[good.rindex(b"PK\x01\x02") + 8] |= 1
+    (folder / "locked.zip").write_bytes(bytes(flags))
+    (folder / "cut.zip").write_bytes(good[: len(good) // 2])
+    done = ingest.ingest_files(spark, [str(p) for p in folder.glob("*.zip")], mapping(**{"N1-E1": "p:n1"}))
+    got = {r["file"].split("/")[-1]: (r["status"], r["rows_written"]) for r in done.outcomes.collect()}
+    failed = ("parse_failed", 0)
+    assert got == {"good.zip": ("processed", 72000), "two.zip": failed, "late.zip": failed, "locked.zip": failed, "cut.zip": failed}
+    assert done.rows().count() == 72000
+
+
+def test_rows_without_a_key_are_set_aside(spark, folder):
+    at, path = dt.datetime, str(folder / "lake")
+    for value in (1.0, 2.0):
+        batch = lake_df(spark, [("a", None, value, "kwh", None, at(2024, 5, 1)), ("a", at(2024, 1, 1), value, "kwh", None, at(2024, 5, 1)), (None, at(2024, 1, 1), value, "kwh", None, at(2024, 5, 1))])
+        for _ in range(2):
+            assert lake.upsert_readings(spark, path, batch) == 1
+    assert [(r["sensorId"], r["val"]) for r in spark.read.parquet(path).collect()] == [("a", 2.0)]
+    assert sorted(r["val"] for r in spark.read.parquet(f"{path}_rejected").collect()) == [1.0, 1.0, 2.0, 2.0]
+    assert lake.delete(spark, path, lake.with_partitions(lake_df(spark, [("a", None, 1.0, "kwh", None, None)]))) == 0
+
+
+def test_plain_table(spark, folder):
+    path = str(folder / "sites")
+    for rows, count in (([("p", "s1", 1), ("p", "s2", 1)], 2), ([("p", "s2", 2), ("q", "s1", 3)], 2), ([], 0)):
+        sites = spark.createDataFrame(rows, "project string, site string, v int")
+        assert lake.upsert(spark, path, sites, keys=["project", "site"], partitions=[], order=["v"]) == count
+    assert sorted(map(tuple, spark.read.parquet(path).select("project", "site", "v").collect())) == [("p", "s1", 1), ("p", "s2", 2), ("q", "s1", 3)]
+    lake.delete(spark, path, spark.createDataFrame([("p", "s1")], "project string, site string"), keys=["project", "site"], partitions=[])
+    assert spark.read.parquet(path).count() == 2
