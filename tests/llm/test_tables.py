@@ -9,6 +9,7 @@ import random
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import pytest
 import zstandard as zstd
 from pyspark.sql import functions as F
@@ -47,6 +48,43 @@ def leak_case(spark):
     return spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit("clash")), spark.createDataFrame(items, "item_id long, text string"), items
 
 
+def test_no_whole_copy_is_lost_among_many_items(spark):
+    rng = random.Random(21)
+    some = lambda n: " ".join(f"w{rng.randrange(6000)}" for _ in range(n))
+    items = [(i, some(600 if i % 50 == 0 else 40)) for i in range(1000)]
+    rows = [(i, " ".join([some(rng.randint(0, 90)), text, some(rng.randint(0, 90))])) for i, text in items]
+    got = decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert got.filter("doc_id = item_id and sequence = 1").count() == len(items)
+
+
+def test_candidates_lose_nothing_that_brute_force_finds():
+    rng = random.Random(22)
+    known = decontaminate.Settings(stretch=64)
+    items = [(i, prose(rng, rng.choice([1, 3, 8, 20, 40, 120]))) for i in range(60)]
+    used = np.unique([decontaminate.feature(w, known) for _, t in items for w in decontaminate.words_of(t.encode())])
+    idf = np.array([rng.random() + 0.1 for _ in range(known.features)])
+    index = decontaminate.index_of(items, idf, used, rng.random() * np.ones((len(used), 4), np.float32), known)
+    found = 0
+    for _ in range(60):
+        words = decontaminate.words_of(prose(rng, 300).encode())
+        for copied in rng.sample(index.words, 3):  # with words lost and put in between
+            kept = [w for w in copied if rng.random() > 0.25]
+            at = rng.randrange(len(words))
+            words[at:at] = [x for w in kept for x in ([w, b"new"] if rng.random() < 0.1 else [w])]
+        want = set()
+        for item, wanted in enumerate(index.words):
+            n, short = len(wanted), len(wanted) < known.min_words
+            for start in range(0, len(words), known.span):
+                here = words[max(0, start - n) : start + 2 * max(known.span, n)]
+                share = decontaminate.common_subsequence(wanted, here) / n
+                answered = sum(w in here for w in index.answers[item]) / len(index.answers[item])
+                if share >= (1.0 if short else known.near) or not short and share >= known.paraphrase and answered >= known.answer:
+                    want.add(item)
+        assert set(decontaminate.search(words, index, known)) == want
+        found += len(want)
+    assert found > 100
+
+
 def test_leaks_are_found_and_clean_documents_left(spark, none):
     docs, benchmark, items = leak_case(spark)
     got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, benchmark).collect()}
