@@ -48,6 +48,14 @@ def leak_case(spark):
     return spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit("clash")), spark.createDataFrame(items, "item_id long, text string"), items
 
 
+def test_items_of_any_script_are_found(spark):
+    items = ["Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива", "μῆνιν ἄειδε θεὰ Πηληϊάδεω Ἀχιλῆος οὐλομένην", "吾輩は猫である。名前はまだ無い。", "كان يا ما كان في قديم الزمان ملك"]
+    rows = [(i, f"{prose(random.Random(i), 30)} {text} и еще") for i, text in enumerate(items)] + [(9, "彼は「吾輩は猫である。名前はまだ無い。」と書いた"), (10, prose(random.Random(10), 60))]
+    benchmark = spark.createDataFrame([*enumerate(items), (7, "。、 !"), (8, None)], "item_id long, text string")
+    got = decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), benchmark)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i in range(4)} | {(9, 2)}
+
+
 def test_no_whole_copy_is_lost_among_many_items(spark):
     rng = random.Random(21)
     some = lambda n: " ".join(f"w{rng.randrange(6000)}" for _ in range(n))
