@@ -98,7 +98,11 @@ DISGUISED = re.compile(rf"(?<![A-Za-z0-9._%+-])({NAME}(?:{DOT}{NAME}){{0,4}}?)({
 # The last labels that make a host of bare words believable.
 TOP_LEVELS = frozenset("com net org edu gov mil int info biz io co me ai app dev uk de fr es it nl eu ch at us ca au nz jp in br".split())
 DOTS = re.compile(DOT, re.IGNORECASE)
-DISGUISE_SIGN = re.compile(r"[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]|\s(?:at|@)\s[^@]{1,80}\sdot\s|\s@|@\s", re.IGNORECASE)
+# What a text must have for a transducer to change it: a bracketed or spaced sign, or a spelled digit beside another
+# digit, as near as SPELLED and SPELLED_IP allow. The word "dot" is looked for beside these.
+DISGUISE_SIGN = re.compile(r"[\[({<]\s*(?:at|@|\.)\s*[\])}>]|\s@|@\s", re.IGNORECASE)
+BESIDE = r"(?:[ ,.-]{0,2}| \. )(?:(?:double|triple)[ -]+)?"
+SPELLED_PAIR = re.compile(rf"(?:{DIGIT_WORD})(?![A-Za-z]){BESIDE}{ANY_DIGIT}|[0-9]{BESIDE}(?:{DIGIT_WORD})(?![A-Za-z])", re.IGNORECASE)
 
 
 class Tape:
@@ -184,11 +188,16 @@ def unat(tape: Tape) -> Tape:
     return tape.rewrite(edits)
 
 
+def disguised(text: str) -> bool:
+    """Whether a transducer may change the text; where this is false, none does."""
+    return bool(not text.isascii() and ODD.search(text) or "dot" in text.lower() or DISGUISE_SIGN.search(text) or SPELLED_PAIR.search(text))
+
+
 def added_spans(text: str, base: list[Span]) -> list[Span]:
     """Spans of identifiers that only show once disguises are undone and that overlap no base span."""
-    odd = not text.isascii() and ODD.search(text)
-    if not (odd or DISGUISE_SIGN.search(text) or len(SPELLED_SIGN.findall(text)) >= 4):
+    if not disguised(text):
         return []
+    odd = not text.isascii() and ODD.search(text)
     found: list[Span] = []
     glyphs = unglyph(Tape(text)) if odd else Tape(text)
     for tape in dict.fromkeys((glyphs, undigit(glyphs), unat(glyphs))):

@@ -110,6 +110,31 @@ def test_disguises_map_back_to_the_source(text, found, kind):
     assert pii.masked(text, spans) == text.replace(found, f"<{kind.upper()}>")
 
 
+@pytest.mark.parametrize(
+    ("text", "found", "kind"),
+    [
+        ("call +1 415 five five five 2671", "+1 415 five five five 2671", "phone"),
+        ("call +1 415 555 26 seven one", "+1 415 555 26 seven one", "phone"),
+        ("host 192 dot 168 dot 10 dot 5", "192 dot 168 dot 10 dot 5", "ip"),
+        ("host 10.0.0 . five", "10.0.0 . five", "ip"),
+        ("write john@example dot com", "john@example dot com", "email"),
+    ],
+)
+def test_disguises_with_few_signs(text, found, kind):
+    assert [(text[a:b], pii.KINDS[k]) for a, b, k in pii.added_spans(text, pii.base_spans(text))] == [(found, kind)]
+
+
+PIECES = ["one", "Two", "five", "oh", "double ", "plus ", "1", "42", " dot ", "dot", " at ", "@", ".", " . ", "-", ", ", " ", "(", ")", "[at]", "john", "com", "x", "\n", "é", "ſix"]
+
+
+@settings(max_examples=3000, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=24).map("".join))
+def test_gate_never_hides_what_a_transducer_changes(text):
+    glyphs = pii.unglyph(pii.Tape(text))
+    changed = any(tape.text != text for tape in (glyphs, pii.undigit(glyphs), pii.unat(glyphs)))
+    assert pii.disguised(text) or not changed
+
+
 @pytest.mark.parametrize("text", ["look at the dot matrix", "he is at home. Then dot", "one two three four", "the one and two of them at noon", "a@b", ""])
 def test_clean_texts_get_no_span(text):
     assert pii.base_spans(text) + pii.added_spans(text, []) == []
