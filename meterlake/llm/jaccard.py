@@ -31,7 +31,7 @@ from meterlake.llm.common import staged, texts
 from meterlake.llm.fingerprints import BASE, Codes, as_table, code_words, dealt, in_order, mixed, ranks_of, rolling, tally
 from meterlake.llm.graph import components
 
-SETS = "doc_id long, n long, m long, cls binary, tokens array<long>, hashes binary"
+SETS = "doc_id long, text_key binary, n long, m long, cls binary, tokens array<long>, hashes binary"
 
 
 @dataclass(frozen=True)
@@ -44,6 +44,8 @@ class Settings:
     """Members of a list that lead in the first round; each later round takes eight times as many."""
     probe_cost: float = 0.01
     """The weight of DivideSkip for the number of long lists."""
+    text_keys: bool = False
+    """Whether rows get the digest of their text, which tells apart those that share an id or have none."""
 
 
 def shingles(text: bytes | None, words: int, codes: Codes) -> np.ndarray:
@@ -112,6 +114,11 @@ def divide_skip(query: np.ndarray, block: list[np.ndarray], need: list[int], pro
     return out
 
 
+def text_keys(table: pa.Table) -> list[bytes | None]:
+    """MD5 digests of the texts."""
+    return [None if t is None else hashlib.md5(t, usedforsecurity=False).digest() for t in texts(table.column("text").combine_chunks())]
+
+
 def sets_of(docs: DataFrame, settings: Settings) -> DataFrame:
     """Per document: number of shingles ``n``, of those that others have too ``m``, class (digest of the set), indexed
     shingles, and the set where there are any."""
@@ -132,17 +139,18 @@ def sets_of(docs: DataFrame, settings: Settings) -> DataFrame:
         distinct, inverse = np.unique(np.concatenate(found) >> np.uint64(16), return_inverse=True)
         ranks = ranks_of(answers, len(distinct))[inverse]
         rows, at = [], 0
-        for doc, own in zip(table.column("doc_id").to_pylist(), found, strict=True):
+        keys_of_texts = text_keys(table) if settings.text_keys else [None] * len(found)
+        for doc, key, own in zip(table.column("doc_id").to_pylist(), keys_of_texts, found, strict=True):
             rank = ranks[at : at + len(own)]
             at += len(own)
             if not len(own):
-                rows.append((doc, 0, 0, None, [], None))
+                rows.append((doc, key, 0, 0, None, [], None))
                 continue
             shared = int((rank > 0).sum())
             rare = np.lexsort((own, rank))[: prefix_length(len(own), settings.percent)]
             # with too few elements that any other document has, no link is possible
             tokens = own[rare[rank[rare] > 0]].view(np.int64).tolist() if 100 * shared >= settings.percent * len(own) else []
-            rows.append((doc, len(own), shared, hashlib.blake2b(own.tobytes(), digest_size=16).digest(), tokens, own.tobytes() if tokens else None))
+            rows.append((doc, key, len(own), shared, hashlib.blake2b(own.tobytes(), digest_size=16).digest(), tokens, own.tobytes() if tokens else None))
         return as_table(rows, SETS)
 
     answers = tally(batches, keys, rank_of)
@@ -176,11 +184,12 @@ def links_of(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame
 
 
 def join_near(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, class_id``.
+    """One row per document: ``doc_id, n_shingles, component_id, class_id, text_key, component``.
 
     ``component_id`` is the smallest id that is reached over links, the row's own among them; ``class_id`` the smallest
     id with an equal set. Texts without words are linked with nothing and keep their own id. Null ids never are the
-    smallest; repeated rows belong to one class.
+    smallest; repeated rows belong to one class. ``component`` tells components apart also where ids are null or stand on
+    several texts; it is null for texts without words. ``text_key`` is the MD5 digest of the text if the settings ask for it.
     """
     found = staged(sets_of(docs, settings), "jaccard-sets")
     classes = found.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("class_id"), F.min(F.when(F.size("tokens") > 0, F.struct("n", "m", "tokens", "hashes"))).alias("s"))
@@ -227,11 +236,11 @@ def join_near(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     ids = classes.select("cls", "class_id")
     if roots is None:
-        final = ids.withColumn("component", F.col("class_id"))
+        final = ids.select("cls", "class_id", F.col("cls").alias("root"), F.col("class_id").alias("component"))
     else:
         rooted = ids.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "class_id", F.coalesce("root", "cls").alias("root"))
         least = rooted.groupBy("root").agg(F.min("class_id").alias("component"))
-        final = rooted.join(least, "root").select("cls", "class_id", "component")
-    rows = found.select("doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("c"))
+        final = rooted.join(least, "root").select("cls", "class_id", "root", "component")
+    rows = found.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.col("cls").alias("c"))
     rows = rows.join(final, F.col("c") == F.col("cls"), "left")
-    return rows.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
+    return rows.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"), "text_key", F.col("root").alias("component"))

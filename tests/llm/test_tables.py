@@ -228,6 +228,22 @@ def test_pipeline_stages(spark, docs, folder):
     assert corpus_pipeline.run(spark, str(folder)).count() == now.count()
 
 
+def test_rows_that_share_an_id_or_have_none_stand_for_themselves(spark, folder):
+    _, benchmark, items = leak_case(spark)
+    benchmark.write.parquet(str(folder / "shared" / "benchmark.parquet"))
+    rng = random.Random(31)
+    texts = [prose(rng, 60) for _ in range(12)]
+    leak = texts[0] + " " + items[3][1]
+    rows = [(None, t) for t in texts[:5]] + [(7, t) for t in texts[5:8]] + [(None, leak), (7, texts[9] + " " + items[4][1])]
+    rows += [(None, texts[1]), (7, texts[6]), (6, texts[7]), (None, texts[7]), (None, ""), (None, None), (8, texts[10]), (8, texts[10])]
+    docs = spark.createDataFrame([(d, t, "en", f"s{i % 2}", 1) for i, (d, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    near = corpus_pipeline.keep_one_of_near(spark, docs, str(folder / "shared"))
+    want = Counter(set(rows) - {(7, texts[7]), (None, texts[7])})
+    assert Counter((r.doc_id, r.text) for r in near.collect()) == want
+    clean = corpus_pipeline.drop_leaks(spark, docs, str(folder / "shared"))
+    assert Counter((r.doc_id, r.text) for r in clean.collect()) == Counter(r for r in rows if r[1] not in (leak, rows[9][1]))
+
+
 @pytest.mark.skipif(not Path(SF).exists(), reason="tables not present")
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_registered_query_runs(spark, name):
