@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import decontaminate, jaccard, language, mixing, pii, quality, substrings, tokens, toxicity, warc
-from meterlake.llm.common import held_out, shipped, table
+from meterlake.llm import conversations, decontaminate, jaccard, language, mixing, packing, pii, quality, resample, substrings, tokens, toxicity, warc
+from meterlake.llm.common import held_out, shipped, staged, table
+from meterlake.llm.sql import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 VOCABULARY = "word_bpe_49k.json"
+PACKING_VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 2048
 
 
@@ -63,9 +67,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.digests(damaged, staged(conversations.audits(damaged), "audits"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_VOCABULARY), ["doc_id"], TOKEN_LIMIT)
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: shipped(f)
-    for f in (op1_decontamination, op2_language, op3_tokens, op4_pii, op5_substrings, op6_jaccard, op7_quality, op8_toxicity, op9_mixing, op10_warc)
+    for f in (op1_decontamination, op2_language, op3_tokens, op4_pii, op5_substrings, op6_jaccard, op7_quality, op8_toxicity, op9_mixing, op10_warc, op11_conversations, op12_packing, op13_resampling)
 }
-
-SQL: dict[str, str] = {}

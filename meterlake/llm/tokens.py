@@ -96,7 +96,7 @@ class Counts(dict):
         return extra + sum(sum(map(self.__getitem__, self.pieces(part))) for part in parts if part)
 
 
-def _driver_text(spark: SparkSession, path: str) -> str:
+def driver_text(spark: SparkSession, path: str) -> str:
     if "://" in path:
         return spark.read.text(path, wholetext=True).first()[0]
     return Path(path).read_text(encoding="utf-8")
@@ -109,7 +109,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, keep: list[str], limit: int)
     more than the vocabulary has) go to the executors by broadcast.
     """
     spark = docs.sparkSession
-    source = _driver_text(spark, vocabulary)
+    source = driver_text(spark, vocabulary)
     shared = spark.sparkContext.broadcast((source, proven(Tokenizer.from_str(source))))
     schema = docs.select(*keep).schema.add("n_bytes", "long").add("n_tokens", "long").add("over_limit", "boolean")
 
