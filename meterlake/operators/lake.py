@@ -50,7 +50,8 @@ def write(df: DataFrame, path: str, partitions: list[str] | None = None, keys: l
     """Overwrite the partitions present in ``df``.
 
     Rebalancing splits a heavy month over several tasks and packs light ones
-    together; files are sorted by key, so their statistics prune by sensor.
+    together; files are sorted by key, so their statistics prune by sensor, and
+    a bloom filter on the first key tells which row groups cannot hold one.
     """
     partitions, keys = PARTITIONS if partitions is None else partitions, keys or KEYS
     writer = (
@@ -58,6 +59,7 @@ def write(df: DataFrame, path: str, partitions: list[str] | None = None, keys: l
         .sortWithinPartitions(*partitions, *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option(f"parquet.bloom.filter.enabled#{keys[0]}", "true")
     )
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
@@ -79,7 +81,7 @@ def _folder(path: str, partitions: list[str], row) -> str:
     return "/".join([path.rstrip("/"), *[f"{p}={v}" for p, v in zip(partitions, values, strict=True)]])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
@@ -90,7 +92,7 @@ def stored(spark: SparkSession, path: str, rows: list, partitions: list[str]) ->
     Only those partitions are listed, and only their footers are merged, so a
     column added earlier survives the rewrite.
     """
-    folders = [f for f in (_folder(path, partitions, r) for r in rows) if _exists(spark, f)]
+    folders = [f for f in (_folder(path, partitions, r) for r in rows) if exists(spark, f)]
     if not folders:
         return None
     return spark.read.option("basePath", path).option("mergeSchema", True).parquet(*folders)
@@ -152,15 +154,60 @@ def delete(
         return 0
     left = staged(without(old, doomed, keys), "survivors")
     write(left, path, partitions, keys)
+    _clear(spark, path, left, touched, partitions)
+    return doomed.count()
+
+
+def _clear(spark: SparkSession, path: str, left: DataFrame, touched: list, partitions: list[str]) -> None:
+    """Drop the touched partitions of which no row is left; a dynamic overwrite leaves those alone.
+
+    Dropping a folder moves no data and runs no job. A table that has no other partition keeps an empty one, for its schema.
+    """
     if not partitions:
-        return doomed.count()
-    # A dynamic overwrite leaves a partition alone when no row of it is left.
+        return
     filled = {tuple(r) for r in left.select(*partitions).distinct().collect()}
-    empty = left.drop(*partitions).limit(0)
-    for row in touched:
-        if tuple(row) not in filled:
-            empty.write.mode("overwrite").parquet(_folder(path, partitions, row))
-    return doomed.count()
+    emptied = [_folder(path, partitions, row) for row in touched if tuple(row) not in filled]
+    gone = [f for f in emptied if exists(spark, f)]
+    if not gone:
+        return
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in gone[1:] if not filled else gone:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
+    if not filled:
+        left.drop(*partitions).limit(0).write.mode("overwrite").parquet(gone[0])
+
+
+def replace_window(
+    spark: SparkSession, path: str, incoming: DataFrame, start: str, end: str, sensors: DataFrame | None = None
+) -> dict[str, int]:
+    """Make the stored rows of ``[start, end)`` exactly the incoming ones, in one change; numbers of rows by what became of them.
+
+    Rows of the window that the delivery no longer holds go, changed ones are replaced, new ones come in. Only the sensors
+    given (those of the delivery unless named) are touched, and only the months of the window are read and rewritten.
+    Incoming rows outside the window are left out; of several rows of a key the newest counts. Running it again
+    changes nothing.
+    """
+    first, last = (F.lit(x).cast("timestamp_ntz") for x in (start, end))
+    inside = (F.col("ts") >= first) & (F.col("ts") < last)
+    order = [c for c in ["ats", *PROVENANCE] if c in incoming.columns]
+    whole = with_partitions(incoming.filter(inside & _complete(KEYS)))
+    batch = staged(last_write_wins(whole, KEYS, order).drop(*PROVENANCE), "window")
+    scope = batch.select("sensorId") if sensors is None else sensors.select(F.col(sensors.columns[0]).alias("sensorId"))
+    scope = staged(scope.distinct(), "window-sensors")
+    months = spark.range(1).select(F.explode(F.sequence(F.trunc(first.cast("date"), "MM"), F.trunc((last - F.expr("INTERVAL '1' SECOND")).cast("date"), "MM"), F.expr("INTERVAL 1 MONTH"))).alias("m"))
+    touched = months.select(F.year("m").alias("its_year"), F.month("m").alias("its_month")).collect()  # calendar months
+    old = stored(spark, path, touched, PARTITIONS)
+    if old is None:
+        write(batch, path)
+        return {"inserted": batch.count(), "replaced": 0, "withdrawn": 0}
+    held = old.filter(inside).join(scope, "sensorId", "left_semi")
+    keys = staged(held.select(*KEYS, "its_year", "its_month"), "window-held")
+    rest = old.filter(~inside).unionByName(old.filter(inside).join(scope, "sensorId", "left_anti"))
+    left = staged(rest.unionByName(batch, allowMissingColumns=True), "window-rows")
+    replaced = batch.join(keys.select(*KEYS), KEYS, "left_semi").count()
+    write(left, path)
+    _clear(spark, path, left, touched, PARTITIONS)
+    return {"inserted": batch.count() - replaced, "replaced": replaced, "withdrawn": keys.count() - replaced}
 
 
 def export_per_sensor(rows: DataFrame, path: str) -> None:

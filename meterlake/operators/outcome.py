@@ -160,27 +160,28 @@ def violations(outcomes: DataFrame) -> DataFrame:
     return outcomes.filter(~F.coalesce(ok, F.lit(False)))
 
 
-def skip_samples(readings: DataFrame) -> DataFrame:
-    """The first 100 skipped cells of each file, in file order, one row each.
+def skipped_cells(readings: DataFrame) -> DataFrame:
+    """Every skipped cell as a row, ``file, split, row, column, t_start, value, reason``; nothing is shuffled."""
+    value = F.when(F.col("skip_reason") == "unparseable_timestamp", F.col("t_start").cast("string"))
+    return readings.filter(is_skipped(F.col("skip_reason"))).select(
+        "file",
+        "split",
+        F.col("pos").alias("row"),
+        "column",
+        "t_start",
+        F.coalesce("raw_val", value, F.lit("")).alias("value"),
+        F.col("skip_reason").alias("reason"),
+    )
+
+
+def skip_samples(readings: DataFrame, limit: int = SAMPLE_CAP) -> DataFrame:
+    """The first ``limit`` skipped cells of each file, in file order, for the audit document; ``skipped_cells`` has them all.
 
     The limit is also applied inside every map task, before the shuffle.
     """
-    order = W.partitionBy("file").orderBy("split", "pos", "t_start", "column")
-    value = F.when(F.col("skip_reason") == "unparseable_timestamp", F.col("t_start").cast("string"))
-    return (
-        readings.filter(is_skipped(F.col("skip_reason")))
-        .select(
-            "file",
-            "column",
-            F.coalesce("raw_val", value, F.lit("")).alias("value"),
-            F.col("skip_reason").alias("reason"),
-            "split",
-            "pos",
-            F.row_number().over(order).alias("n"),
-        )
-        .filter(F.col("n") <= SAMPLE_CAP)
-        .select("file", "n", F.col("pos").alias("row"), "column", "value", "reason")
-    )
+    order = W.partitionBy("file").orderBy("split", "row", "t_start", "column")
+    numbered = skipped_cells(readings).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= limit)
+    return numbered.select("file", "n", "row", "column", "value", "reason")
 
 
 def audit(outcomes: DataFrame, samples: DataFrame, identifiers: DataFrame) -> DataFrame:
@@ -270,13 +271,9 @@ def file_ratios(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def unmapped_kinds(identifiers: DataFrame) -> DataFrame:
-    """Listed unmapped identifiers per file and kind."""
-    return (
-        identifiers.select("file", F.explode("unmapped_identifiers").alias("i"))
-        .groupBy("file", F.col("i")["id_kind"].alias("kind"))
-        .agg(F.count("*").alias("identifiers"))
-    )
+def unmapped_kinds(keys: DataFrame) -> DataFrame:
+    """Unmapped identifiers per file and kind, from their rows."""
+    return keys.groupBy("file", F.col("id_kind").alias("kind")).agg(F.count("*").alias("identifiers"))
 
 
 def load_summary(resolved: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from meterlake.functions.stamps import day_start, plus_minutes, plus_seconds, se
 
 DAY = 86_400
 CHANNEL = ["file", "nmi", "suffix"]
+ARRIVAL = ["ats", "file", "split", "pos"]
 
 
 def reading_frame(readings: DataFrame) -> DataFrame:
@@ -26,14 +27,14 @@ def reading_frame(readings: DataFrame) -> DataFrame:
     )
 
 
-def split_days(readings: DataFrame) -> DataFrame:
-    """Readings longer than a day become one piece per calendar day, pro rata by seconds.
+def split_days(readings: DataFrame, only: Column | None = None) -> DataFrame:
+    """Readings longer than a day (of those that ``only`` names) become one piece per calendar day, pro rata by seconds.
 
     Shorter readings take the same path with a single piece, so there is no
     union and no shuffle.
     """
     total = seconds_between(F.col("t_start"), F.col("t_end"))
-    is_long = total > DAY
+    is_long = (total > DAY) if only is None else F.coalesce((total > DAY) & only, F.lit(False))
     first = day_start(F.col("t_start"))
     days = F.datediff(F.to_date(plus_seconds(F.col("t_end"), F.lit(-1))), F.to_date("t_start"))
     pieces = F.when(is_long, F.sequence(F.lit(0), days)).otherwise(F.array(F.lit(0)))
@@ -133,8 +134,9 @@ def _coarser(readings: DataFrame, minutes: int, keys: list[str]) -> DataFrame:
 def channel_pivot(readings: DataFrame, suffixes: list[str], serno: bool = False) -> DataFrame:
     """One row per meter and interval with a value and a quality column per channel.
 
-    The channels are named by the caller, so Spark need not run the input once
-    more to find them.
+    Of several readings of one interval the last one counts: by arrival, where there is an ``ats``, then by file and its
+    place in the file, never by a number that a task gave. The channels are named by the caller, so Spark need not run
+    the input once more to find them.
     """
     keys = ["nmi", "t_start", "t_end", *(["serno"] if serno else [])]
     wide = (
@@ -142,7 +144,7 @@ def channel_pivot(readings: DataFrame, suffixes: list[str], serno: bool = False)
         .groupBy(*keys)
         .pivot("suffix", suffixes)
         .agg(
-            F.max(F.struct("pos", "val", "quality", "event_code", "event_desc")).alias("last"),
+            F.max(F.struct(*[c for c in ARRIVAL if c in readings.columns], "val", "quality", "event_code", "event_desc")).alias("last"),
         )
     )
     return wide.select(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.identifiers import OPTIMA, country
+from meterlake.operators import lake
+from meterlake.operators.dedupe import last_write_wins
 
 SITE_KEY = ["project", "nmi"]
 COMPARED = ["siteIdStr", "siteName"]
@@ -38,6 +40,31 @@ def to_import(diff: DataFrame, force: bool = False) -> DataFrame:
     return diff.filter(F.col("state").isin(wanted)).select(*SITE_KEY, *COMPARED)
 
 
+def import_sites(spark: SparkSession, path: str, incoming: DataFrame, batch: str, force: bool = False) -> DataFrame:
+    """Insert sites that are not stored; replace those that differ only when forced. Returns the ledger of the batch.
+
+    Of several incoming rows of a site the last one counts, by ``pos`` where there is one. Sites without an id are left
+    out. The ledger below ``<path>_ledger`` has one row for each site that was new or in conflict, with the fields that
+    differ, the stored values and what was decided. It is written first, and what is done comes from the ledger as
+    written: a batch that is in it already, after a failure or a second delivery, is done again as it was decided.
+    """
+    order = [c for c in ["pos"] if c in incoming.columns] or COMPARED
+    usable = incoming.filter(F.col("project").isNotNull() & (F.coalesce("nmi", F.lit("")) != "") & (F.coalesce("siteIdStr", F.lit("")) != ""))
+    newest = last_write_wins(usable, SITE_KEY, order).select(*SITE_KEY, *COMPARED)
+    held = lake.stored(spark, path, [None], [])
+    old = newest.limit(0) if held is None else held
+    before = old.select(*SITE_KEY, F.struct(*COMPARED).alias("stored"))
+    told = site_diff(newest, old.select(*SITE_KEY, *COMPARED)).filter(F.col("state") != "IDENTICAL").join(before, SITE_KEY, "left")
+    decision = F.when(F.col("state") == "NEW", F.lit("inserted")).otherwise(F.lit("replaced" if force else "skipped"))
+    ledger = f"{path.rstrip('/')}_ledger"
+    entry = told.withColumn("decision", decision).withColumn("batch", F.lit(batch))
+    if not lake.exists(spark, f"{ledger}/batch={batch}"):
+        entry.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(ledger)
+    written = spark.read.schema(entry.schema).parquet(ledger).filter(F.col("batch") == batch)
+    lake.upsert(spark, path, written.filter(F.col("decision") != "skipped").select(*SITE_KEY, *COMPARED), SITE_KEY, [], COMPARED)
+    return written
+
+
 def diff_summary(diff: DataFrame) -> DataFrame:
     return diff.groupBy("state").agg(F.count("*").alias("sites"))
 

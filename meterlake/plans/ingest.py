@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import logging
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import islice
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.text import decode_key
-from meterlake.operators import lake, outcome, resolve
+from meterlake.operators import journal, outcome, resolve
 from meterlake.schemas import READINGS
 from meterlake.session import staged
-from meterlake.sources import nem12
-from meterlake.sources.classify import NEM, classify, content_flags, read_layout, read_nem, rivals, settle_nem
+from meterlake.sources import headscan, nem12
+from meterlake.sources.classify import NEM, classify, content_flags, late_records, read_layout, read_nem, rivals, settle_nem
 from meterlake.sources.layouts import BY_NAME
 from meterlake.sources.lines import LINES_DDL, headers, heads, read_lines, read_utf16_lines, read_zipped_lines
 from meterlake.sources.tables import manifest
 
-# Limits of one run.
+log = logging.getLogger(__name__)
+
+# Fixed value: files of one run; a drain makes as many runs as there are files for.
 BATCH_FILES = 400
-MAX_BATCHES = 100
-MAX_FILES = BATCH_FILES * MAX_BATCHES
 
 
 @dataclass(frozen=True)
@@ -56,6 +59,12 @@ def _classified(tops: DataFrame, lines_of: Callable[[DataFrame], DataFrame]) ->
     """
     tops = staged(tops, "heads")
     files = staged(classify(tops), "files")
+    unknown = files.filter(F.col("fmt").isNull()).join(tops.filter(~F.col("unreadable")), "file", "left_semi").select("file", "name")
+    late = staged(late_records(lines_of(unknown.select("file"))), "late")
+    if not late.isEmpty():
+        nothing = F.lit(None).cast("string")
+        late = late.join(unknown, "file").select("file", "name", "fmt", nothing.alias("status"), nothing.alias("reason"), "envelope")
+        files = staged(files.join(late, "file", "left_anti").unionByName(late), "files")
     doubtful = staged(rivals(files, tops), "rivals")
     if doubtful.isEmpty():
         return files
@@ -113,7 +122,7 @@ def _path() -> Column:
 
 
 def _paths(files: DataFrame) -> dict[str, list[str]]:
-    """Paths per layout. A run is limited to MAX_FILES files, so the list is short."""
+    """Paths per layout, of the files of one run."""
     rows = files.filter(F.col("status").isNull()).select("fmt", _path()).collect()
     found: dict[str, list[str]] = {}
     for row in rows:
@@ -129,12 +138,12 @@ def _sources(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
 
 
 def ingest_files(spark: SparkSession, paths: list[str], mapping: DataFrame) -> Ingested:
-    """Ingest up to MAX_FILES files, each layout with its own native reader."""
-    if len(paths) > MAX_FILES:
-        raise ValueError(f"{len(paths)} files exceed one run of {MAX_FILES}")
+    """Ingest the files of one run, each layout with its own native reader."""
     zips = [p for p in paths if p.lower().endswith(".zip")]
+    loose = [p for p in paths if not p.lower().endswith(".zip")]
+    tops = ([headscan.scan(spark, loose)] if loose else []) + ([heads(read_zipped_lines(spark, zips)).drop("head_pos")] if zips else [])
     files = _classified(
-        _union([heads(s) for s in _sources(spark, paths)]),
+        _union(tops),
         lambda few: _union([spark.createDataFrame([], LINES_DDL), *_sources(spark, [r["path"] for r in few.select(_path()).collect()])]),
     )
     if zips:
@@ -180,18 +189,45 @@ def _decoded_heads(name: str, lines: DataFrame) -> tuple[DataFrame, DataFrame |
     return lines.join(bad, "file", "left_anti"), broken
 
 
-def list_run(spark: SparkSession, landing: str, max_files: int = MAX_FILES) -> list[str]:
-    """The files of the next run: oldest first, at most ``max_files``."""
-    oldest = manifest(spark, landing).filter(F.col("size") > 0).orderBy("modified", "path").limit(min(max_files, MAX_FILES))
-    return [r["path"] for r in oldest.select("path").collect()]
+def runs(files: DataFrame, batch_files: int = BATCH_FILES) -> Iterator[list[str]]:
+    """The paths of a manifest, oldest first, run by run; the driver holds one run at a time, whatever their number."""
+    ordered = files.filter(F.col("size") > 0).orderBy("modified", "path").select("path")
+    rows = ordered.toLocalIterator()
+    while batch := [r["path"] for r in islice(rows, batch_files)]:
+        yield batch
 
 
 def run(
     spark: SparkSession, paths: list[str], mapping: DataFrame, lake_path: str, audit_path: str | None = None, batch: str = "run"
 ) -> DataFrame:
-    """Ingest files into the lake; returns the outcome of every file."""
+    """Ingest files into the lake; returns the outcome of every file.
+
+    Rows, audit and outcomes are written beside the lake first and then applied as one: a run that fails between the two
+    writes is finished by the next one, or by ``journal.recover``.
+    """
     done = ingest_files(spark, paths, mapping)
-    lake.upsert_readings(spark, lake_path, done.rows())
-    if audit_path:
-        outcome.write_audit(done.audit(), audit_path, batch)
-    return done.outcomes
+    return journal.commit(spark, lake_path, batch, done.rows(), done.audit() if audit_path else None, done.outcomes, audit_path)
+
+
+def drain(
+    spark: SparkSession, landing: str, mapping: DataFrame, lake_path: str,
+    audit_path: str | None = None, outcomes_path: str | None = None, batch_files: int = BATCH_FILES, name: str = "drain",
+) -> dict[str, int]:
+    """Ingest every file below ``landing``, in runs of ``batch_files``; totals of files, runs and failed runs.
+
+    A run that fails leaves its files for the next drain and the others go on.
+    """
+    files = staged(manifest(spark, landing), "manifest")
+    totals = {"files": 0, "runs": 0, "failed": 0}
+    for n, paths in enumerate(runs(files, batch_files)):
+        totals["runs"] += 1
+        try:
+            outcomes = run(spark, paths, mapping, lake_path, audit_path, f"{name}-{n:06d}")
+            if outcomes_path:
+                outcomes.withColumn("batch", F.lit(f"{name}-{n:06d}")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(outcomes_path)
+        except PySparkException as error:
+            log.error("run %s of %s failed: %s", n, landing, error)
+            totals["failed"] += 1
+            continue
+        totals["files"] += len(paths)
+    return totals

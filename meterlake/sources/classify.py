@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions.text import BOM, cells
+from meterlake.operators import series
 from meterlake.sources import nem12, nem13
 from meterlake.sources.layouts import BY_NAME, LAYOUTS, NO_DEMAND_DATA
 
@@ -99,8 +100,13 @@ def read_layout(name: str, lines: DataFrame) -> DataFrame:
 
 
 def read_nem(name: str, lines: DataFrame) -> DataFrame:
-    """Readings of lines that all belong to meter-data files of one version."""
-    return nem13.parse_lines(lines) if name == "nem13" else nem12.parse_lines(lines)
+    """Readings of lines that all belong to meter-data files of one version.
+
+    An accumulated quantity may cover months; valid ones become one reading per calendar day.
+    """
+    if name == "nem13":
+        return series.split_days(nem13.parse_lines(lines), F.col("skip_reason").isNull())
+    return nem12.parse_lines(lines)
 
 
 def settle_nem(files: DataFrame, readings: DataFrame) -> DataFrame:
@@ -114,6 +120,16 @@ def settle_nem(files: DataFrame, readings: DataFrame) -> DataFrame:
     )
 
 
+def late_records(lines: DataFrame) -> DataFrame:
+    """``file, fmt, envelope`` of the files that hold a meter record, on whatever line.
+
+    For files whose head suits no layout: any number of lead lines may stand above the first record.
+    """
+    line = F.col("line")
+    found = lines.filter(line.rlike(NEM_HEAD)).groupBy("file").agg(F.max(line.rlike(ACCUMULATION)).alias("sums"), F.max(line.rlike(ENVELOPE)).alias("envelope"))
+    return found.select("file", F.when(F.col("sums"), F.lit("nem13")).otherwise(F.lit("nem")).alias("fmt"), "envelope")
+
+
 def rivals(files: DataFrame, tops: DataFrame) -> DataFrame:
     """Files that look like meter data, carry no envelope and also suit a vendor layout, as that layout, with ``meter``.
 

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from meterlake.functions.text import base_name, cells, clean_line
 
 HEAD_LINES = 10
-NUL_PROBE_LINES = 999
 NUL_PROBE_BYTES = 4096
 NUL = "\x00"
 
@@ -112,14 +111,14 @@ def heads(lines: DataFrame) -> DataFrame:
     """One row per file: its first lines and whether its first bytes hold a NUL.
 
     Only the first split of a file can hold its head, and the row-number limit
-    is applied inside every map task, so at most a thousand lines per file and
-    task are shuffled.
+    is applied inside every map task, so at most as many lines per file and
+    task are shuffled as the probed bytes can hold.
     """
     order = W.partitionBy("file").orderBy("split", "pos")
     first = (
         lines.filter(F.col("split") == 0)
         .withColumn("n", F.row_number().over(order))
-        .filter(F.col("n") <= NUL_PROBE_LINES)
+        .filter(F.col("n") <= NUL_PROBE_BYTES)  # a line has a byte at least, its end
         .withColumn(
             "offset",
             F.coalesce(F.sum(F.octet_length("line") + 1).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)),

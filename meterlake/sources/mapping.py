@@ -21,23 +21,21 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
     ).groupBy("lookup_key").agg(F.max_by("sensor_id", "place").alias("sensor_id"), F.max("age_seconds").alias("age_seconds"))
 
 
-OBJECT_KEYS = 100_000
-
-
 def mapping_json(mapping: DataFrame, shards: int | None = None) -> DataFrame:
     """The map as JSON objects, one row each; ``read_mapping`` reads them all back.
 
-    A map of ordinary size is a single object. Keys beyond a hundred thousand
-    go to further objects, so no task builds an unbounded one.
+    Keys go to objects by hash, as many as the session has shuffle partitions
+    unless the caller says otherwise (1 gives the plain object), so an object
+    is a task's share of the map and the map is not counted first.
     """
-    count = shards or max(1, -(-mapping.count() // OBJECT_KEYS))
+    count = shards or int(mapping.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = F.array_sort(F.collect_list(F.struct("lookup_key", "sensor_id")))
     shard = F.pmod(F.xxhash64("lookup_key"), F.lit(count))
     return mapping.groupBy(shard.alias("shard")).agg(F.to_json(F.map_from_entries(pairs)).alias("value"))
 
 
-def write_mapping(mapping: DataFrame, path: str) -> None:
-    mapping_json(mapping).select("value").write.mode("overwrite").text(path)
+def write_mapping(mapping: DataFrame, path: str, shards: int | None = None) -> None:
+    mapping_json(mapping, shards).select("value").write.mode("overwrite").text(path)
 
 
 def whitelist(mapping: DataFrame, key_pattern: str, sensor_prefix: str) -> DataFrame:

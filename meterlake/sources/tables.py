@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake.functions.identifiers import OPTIMA, prefixed
 from meterlake.functions.stamps import iso_week
@@ -12,14 +13,32 @@ from meterlake.schemas import LAKE_CSV
 POINTS = "identifier string, field string, nem12_id string, label string, point_category string, meter_vertex_id string"
 
 
+CORRUPT = "_corrupt_line"
+
+
+def lake_csv(reader):
+    """A (stream) reader of lake-source CSV: a line that does not fit the schema is kept as text in ``CORRUPT``."""
+    reader = reader.schema(T.StructType([*LAKE_CSV.fields, T.StructField(CORRUPT, T.StringType())]))
+    return reader.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+
+
+def scan_lake_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """All lines of lake-source CSV, with their file and time of arrival; ``CORRUPT`` holds those that do not fit."""
+    return lake_csv(spark.read).csv(paths).select("*", F.col("_metadata.file_path").alias("file"), F.current_timestamp().cast("timestamp_ntz").alias("ats"))
+
+
 def read_lake_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Lake-source CSV rows with the time of arrival."""
-    return (
-        spark.read.schema(LAKE_CSV)
-        .option("header", True)
-        .csv(paths)
-        .withColumn("ats", F.current_timestamp().cast("timestamp_ntz"))
-    )
+    """Lake-source CSV rows with the time of arrival; lines that do not fit the schema are left to ``lake_csv_rejects``."""
+    return scan_lake_csv(spark, paths).filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "file")
+
+
+def lake_csv_rejects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``file, line`` of the lake-source CSV lines that do not fit the schema, whatever column is at fault."""
+    return rejects(scan_lake_csv(spark, paths))
+
+
+def rejects(scanned: DataFrame) -> DataFrame:
+    return scanned.filter(F.col(CORRUPT).isNotNull()).select("file", F.col(CORRUPT).alias("line"))
 
 
 def read_lake(spark: SparkSession, path: str, sensors: DataFrame | None = None, start: str | None = None) -> DataFrame:

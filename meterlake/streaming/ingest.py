@@ -17,7 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 from meterlake.functions.text import decode_key
 from meterlake.operators import lake
 from meterlake.plans import ingest
-from meterlake.schemas import LAKE_CSV
+from meterlake.session import staged
+from meterlake.sources.tables import CORRUPT, lake_csv, rejects
+from meterlake.streaming.totals import observed
 
 ARRIVALS = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -42,20 +44,21 @@ def lake_rows(
     spark: SparkSession, source: str, lake_path: str, checkpoint: str,
     max_files: int = ingest.BATCH_FILES, archive: str | None = None,
 ) -> StreamingQuery:
-    """Lake-source CSV files into the lake. An empty batch only consumes its files."""
-    rows = (
-        _source(spark, "csv", max_files, archive)
-        .schema(LAKE_CSV)
-        .option("header", True)
-        .load(source)
-        .select("*", F.col("_metadata.file_path").alias("file"), F.current_timestamp().cast("timestamp_ntz").alias("ats"))
-        .observe("batch", F.count("*").alias("rows"), F.count(F.when(F.col("val").isNull(), 1)).alias("without_value"))
-    )
+    """Lake-source CSV files into the lake. An empty batch only consumes its files.
+
+    A batch is written to the scratch folder once, since its rows, the lines that do not fit (kept below
+    ``<lake>_unreadable``, by batch) and the counts for ``totals.BatchTotals`` come from one reading.
+    """
+    rows = lake_csv(_source(spark, "csv", max_files, archive)).load(source)
+    rows = rows.select("*", F.col("_metadata.file_path").alias("file"), F.current_timestamp().cast("timestamp_ntz").alias("ats"))
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        lake.upsert_readings(batch.sparkSession, lake_path, batch)
+        session, held = batch.sparkSession, staged(batch, "stream-batch")
+        lake.upsert_readings(session, lake_path, held.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
+        bad = rejects(held).withColumn("batch", F.lit(batch_id))
+        bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{lake_path.rstrip('/')}_unreadable")
 
-    return _drain(rows, checkpoint, work)
+    return _drain(observed(rows, CORRUPT), checkpoint, work)
 
 
 def source_files(

@@ -56,8 +56,7 @@ FROM x WHERE sensor_id IS NOT NULL GROUP BY 1"""
 
 
 def unmapped_ids(spark, sf):
-    out = resolve.unmapped_identifiers(resolve.resolve(_event_readings(spark, sf), meter_map(spark, sf)))
-    return out.select("file", F.explode("unmapped_identifiers").alias("i")).select("file", F.col("i")["lookup_key"].alias("lookup_key"))
+    return resolve.unmapped_keys(resolve.resolve(_event_readings(spark, sf), meter_map(spark, sf))).select("file", "lookup_key")
 
 
 UNMAPPED_SQL = f"""WITH x AS ({RESOLVE_SQL}),
@@ -166,10 +165,8 @@ SKIP_COUNTS_SQL = f"""SELECT file, skip_reason, count(*) AS skipped FROM ({vf.IN
 
 
 def audit_samples(spark, sf):
-    """The first hundred skipped cells of each file, in file order."""
-    return outcome.skip_samples(_resolved(spark, sf)).select(
-        "file", F.col("n").cast("long").alias("n"), "row", F.col("column").alias("channel"), "reason"
-    )
+    """Every skipped cell of every file."""
+    return outcome.skipped_cells(_resolved(spark, sf)).select("file", "row", F.col("column").alias("channel"), "t_start", "reason")
 
 
 SAMPLES_SQL = f"""WITH {METER_SQL},
@@ -177,10 +174,9 @@ d AS (SELECT DISTINCT file, user_id, s, suffix, uom, minutes, day FROM m),
 b AS (
   SELECT d.*, i.slot, ((user_id * 8 + s) * 64 + day(day)) * 512 + 1000 AS row
   FROM d, LATERAL (SELECT unnest(generate_series(0, 1440 // minutes - 1)) AS slot) i WHERE suffix <> 'X9'),
-k AS (SELECT b.* FROM b ANTI JOIN m USING (user_id, s, day, slot)),
-n AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY row, slot) AS n FROM k)
-SELECT file, n, row, suffix || '_' || CASE WHEN uom = '' THEN 'kWh' ELSE uom END AS channel, 'blank_value' AS reason
-FROM n"""
+k AS (SELECT b.* FROM b ANTI JOIN m USING (user_id, s, day, slot))
+SELECT file, row, suffix || '_' || CASE WHEN uom = '' THEN 'kWh' ELSE uom END AS channel,
+  CAST(day AS TIMESTAMP) + to_minutes(slot * minutes) AS t_start, 'blank_value' AS reason FROM k"""
 
 
 def audit_documents(spark, sf):
@@ -208,8 +204,7 @@ FROM outcomes LEFT JOIN i USING (file) WHERE rows_skipped > 0 OR unmapped_count
 
 
 def unmapped_kinds(spark, sf):
-    ids = resolve.unmapped_identifiers(resolve.resolve(_event_readings(spark, sf), meter_map(spark, sf)))
-    return outcome.unmapped_kinds(ids)
+    return outcome.unmapped_kinds(resolve.unmapped_keys(resolve.resolve(_event_readings(spark, sf), meter_map(spark, sf))))
 
 
 KINDS_SQL = f"""WITH u AS ({UNMAPPED_SQL}) SELECT file, 'nem12_nmi' AS kind, count(*) AS identifiers FROM u GROUP BY file"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterlake.workload import accounting, lake_table, meter_files, reports, vendor_files
+from meterlake.workload import accounting, changes, lake_table, meter_files, reports, vendor_files
 
 QUERIES = {
     **meter_files.QUERIES,
@@ -10,4 +10,5 @@ QUERIES = {
     **accounting.QUERIES,
     **lake_table.QUERIES,
     **reports.QUERIES,
+    **changes.QUERIES,
 }

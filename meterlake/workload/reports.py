@@ -158,16 +158,26 @@ def site_scan(spark, sf):
 SITE_SCAN_SQL = f"WITH {SITES_SQL} SELECT nmi, siteIdStr, siteName, nmi <> '' AND siteIdStr <> '' AS valid FROM sites"
 
 
-def _diff(spark, sf):
-    incoming = normalise_sites(_site_rows(spark, sf)).filter("valid").drop("valid").withColumn("project", F.lit("bunnings"))
+PROJECT = "retail"
+
+
+def incoming_sites(spark, sf):
+    return normalise_sites(_site_rows(spark, sf)).filter("valid").drop("valid").withColumn("project", F.lit(PROJECT))
+
+
+def stored_sites(spark, sf):
+    """Three quarters of the incoming sites, some under an older name."""
     number = F.regexp_extract("nmi", "([0-9]+)$", 1).cast("long")
-    stored = incoming.filter(number % 4 != 0).select(
+    return incoming_sites(spark, sf).filter(number % 4 != 0).select(
         "project",
         "nmi",
         "siteIdStr",
         F.when(number % 5 == 0, F.lit("old name")).otherwise(F.col("siteName")).alias("siteName"),
     )
-    return sites.site_diff(incoming, stored)
+
+
+def _diff(spark, sf):
+    return sites.site_diff(incoming_sites(spark, sf), stored_sites(spark, sf))
 
 
 def site_diff(spark, sf):
@@ -190,7 +200,7 @@ def sites_to_import(spark, sf):
     return sites.to_import(_diff(spark, sf), force=True)
 
 
-IMPORT_SQL = f"SELECT 'bunnings' AS project, nmi, siteIdStr, siteName FROM ({DIFF_SQL}) WHERE state <> 'IDENTICAL'"
+IMPORT_SQL = f"SELECT '{PROJECT}' AS project, nmi, siteIdStr, siteName FROM ({DIFF_SQL}) WHERE state <> 'IDENTICAL'"
 
 
 def country_detect(spark, sf):
