@@ -104,4 +104,48 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY scor
 SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= n * 5 // 100 THEN place END AS rank, n_words::BIGINT AS n_words FROM ranked
 """
 
-SQL = {"op11_conversations": OP11, "op13_resampling": OP13}
+WORDS = "list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+
+OP5 = f"""
+WITH words AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+windows AS (SELECT r, doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS key FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words)),
+again AS (SELECT r, i FROM windows QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id, r, i) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 20)) AS at_word FROM again),
+kept AS (
+  SELECT r, sha256(string_agg(word, ' ' ORDER BY at_word)) AS digest FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at_word FROM words)
+  ANTI JOIN gone USING (r, at_word) GROUP BY r
+),
+removed AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, coalesce(digest, sha256('')) AS kept_sha256
+FROM words LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)
+"""
+
+OP6 = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, {WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents
+),
+sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words
+),
+items AS MATERIALIZED (SELECT doc_id, len(s) AS n, md5_number(unnest(s)) AS x FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+),
+reached AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM sets JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a) USING (doc_id)
+"""
+
+OP10 = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+latest AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last FROM payloads)
+SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(h, 5 * (k // 4) + 1, 5))::BIGINT >> (15 - 5 * (k % 4))) & 31) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to, CAST(NULL AS VARCHAR) AS problem
+FROM latest
+"""
+
+#: The queries left out fit models, search approximately or call a tokenizer; tests hold them against brute force or held-out rows.
+SQL = {"op5_substrings": OP5, "op6_jaccard": OP6, "op10_warc": OP10, "op11_conversations": OP11, "op13_resampling": OP13}
