@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -106,26 +108,51 @@ SPELLED_PAIR = re.compile(rf"(?:{DIGIT_WORD})(?![A-Za-z]){BESIDE}{ANY_DIGIT}|[0-
 
 
 class Tape:
-    """Text with, for each of its characters, the source span that it stands for."""
+    """Text with, for each of its characters, the source span that it stands for.
 
-    def __init__(self, text: str, spans: list[tuple[int, int]] | None = None):
+    Kept as runs ``(start in the text, start and end in the source, whether copied)``: a copied run stands character for
+    character, each character of a rewritten one for all of its source. A text has no more runs than twice its edits.
+    """
+
+    def __init__(self, text: str, runs: list[tuple[int, int, int, bool]] | None = None):
         self.text = text
-        self.spans = spans if spans is not None else [(i, i + 1) for i in range(len(text))]
+        self.runs = runs if runs is not None else [(0, 0, len(text), True)]
+        self.starts = [run[0] for run in self.runs]
+
+    def _at(self, place: int) -> tuple[int, int]:
+        start, first, last, copied = self.runs[bisect_right(self.starts, place) - 1]
+        return (first + place - start, first + place - start + 1) if copied else (first, last)
+
+    def source(self, start: int, end: int) -> tuple[int, int]:
+        return self._at(start)[0], self._at(end - 1)[1]
+
+    def _slice(self, start: int, end: int) -> Iterator[tuple[int, int, int, bool]]:
+        """Runs of a slice: their length, source and kind."""
+        n = bisect_right(self.starts, start) - 1
+        while start < end:
+            begin, first, last, copied = self.runs[n]
+            stop = min(end, self.starts[n + 1] if n + 1 < len(self.runs) else len(self.text))
+            yield stop - start, *((first + start - begin, first + stop - begin) if copied else (first, last)), copied
+            start, n = stop, n + 1
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> Tape:
         """Replace the slices ``(start, end, new)``, given in order; every new character stands for the whole slice."""
         if not edits:
             return self
-        parts, spans, at = [], [], 0
-        for start, end, new in edits:
-            parts += [self.text[at:start], new]
-            spans += self.spans[at:start]
-            spans += [(self.spans[start][0], self.spans[end - 1][1])] * len(new)
+        parts: list[str] = []
+        runs: list[tuple[int, int, int, bool]] = []
+        at = size = 0
+        for start, end, new in [*edits, (len(self.text), len(self.text), "")]:
+            parts.append(self.text[at:start])
+            for length, *run in self._slice(at, start):
+                runs.append((size, *run))
+                size += length
+            if new:
+                runs.append((size, *self.source(start, end), False))
+                size += len(new)
+                parts.append(new)
             at = end
-        return Tape("".join([*parts, self.text[at:]]), spans + self.spans[at:])
-
-    def source(self, start: int, end: int) -> tuple[int, int]:
-        return min(a for a, _ in self.spans[start:end]), max(b for _, b in self.spans[start:end])
+        return Tape("".join(parts), runs)
 
 
 def unglyph(tape: Tape) -> Tape:
@@ -200,13 +227,17 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
     odd = not text.isascii() and ODD.search(text)
     found: list[Span] = []
     glyphs = unglyph(Tape(text)) if odd else Tape(text)
-    for tape in dict.fromkeys((glyphs, undigit(glyphs), unat(glyphs))):
+    digits = undigit(glyphs)
+    for tape in dict.fromkeys((glyphs, digits, unat(glyphs), unat(digits))):
         if tape.text != text:
             found += [(*tape.source(a, b), kind) for a, b, kind in base_spans(tape.text)]
-    taken, out = sorted((a, b) for a, b, _ in base), []
+    # a sweep: of the base spans that begin before a span's end the furthest end counts, of those added the last one's
+    starts = sorted(a for a, _, _ in base)
+    ends = list(accumulate((b for _, b, _ in sorted(base)), max))
+    out: list[Span] = []
     for span in sorted(set(found), key=lambda s: (s[0], -s[1], s[2])):
-        if not any(a < span[1] and span[0] < b for a, b in taken):
-            taken.append(span[:2])
+        before = bisect_left(starts, span[1])
+        if (not before or ends[before - 1] <= span[0]) and (not out or out[-1][1] <= span[0]):
             out.append(span)
     return out
 
