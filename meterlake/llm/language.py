@@ -41,8 +41,18 @@ class Settings:
     """Unknown words that a task remembers."""
 
 
+NUMBERS = re.compile(r"[^\W\d_a-zß-öø-ɏ]")
+"""Candidates for signs that count as alphanumeric without being letters, such as fractions and Roman numerals."""
+
+
 def words_of(text: bytes | None) -> list[str]:
-    return WORDS.findall(text.decode("utf-8", "replace").lower()) if text else []
+    """Lower-case runs of letters; number signs are none, so a text of them alone has no word."""
+    if not text:
+        return []
+    low = text.decode("utf-8", "replace").lower()
+    if not low.isascii() and (signs := {c for c in NUMBERS.findall(low) if not c.isalpha()}):
+        low = low.translate(dict.fromkeys(map(ord, signs), " "))
+    return WORDS.findall(low)
 
 
 def grams_of(word: str, order: int) -> list[str]:
