@@ -100,7 +100,8 @@ def weigh(sizes: DataFrame, settings: Settings) -> DataFrame:
 def mix(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The mixture: one row for each time a document is used.
 
-    Columns ``doc_id, source, n_tokens, epoch, block, slot, exponent, weight``. ``slot`` in [0, 1) is the place of the
+    Columns ``doc_id, source, n_tokens, epoch, block, slot, exponent, weight, text_hash``; the last is ``xxhash64`` of the
+    text, which with the id finds the row's text again, also where ids are null or shared. ``slot`` in [0, 1) is the place of the
     document in its source's schedule; reading all rows by slot mixes the sources evenly. Documents without a word are
     left out, as they have no tokens to spend. Repeated rows are documents of their own. A document enters the last
     pass when the tokens before it, in that pass's order, are below what is left of the budget; so each source gets its
@@ -132,4 +133,4 @@ def mix(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     used = used.withColumn("at", F.col("start") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     used = used.filter((F.col("epoch") < F.col("whole")) | (F.col("at") < F.col("rest")))
     slot = (F.col("epoch") * F.col("tokens") + F.col("at")) / (F.col("whole") * F.col("tokens") + F.greatest(F.col("rest"), F.lit(0)) + F.col("n_tokens"))
-    return used.select("doc_id", "source", "n_tokens", F.col("epoch").cast("int").alias("epoch"), "block", slot.alias("slot"), "exponent", "weight")
+    return used.select("doc_id", "source", "n_tokens", F.col("epoch").cast("int").alias("epoch"), "block", slot.alias("slot"), "exponent", "weight", F.col("fp").alias("text_hash"))
