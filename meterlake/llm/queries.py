@@ -52,8 +52,8 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "toxic").filter(~held_out(F.col("id")))
-    learn = docs.join(labels, F.col("doc_id") == F.col("id")).select("text", "toxic")
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    learn = toxicity.learned_from(docs, labels)
     marked = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
     return toxicity.score(marked, toxicity.fit(learn), ["doc_id", "held_out"]).drop("total")
 

@@ -1,14 +1,23 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Clauses are scored, not words. A tagger turns each word into classes: insult (words and stems learned from labelled
-rows, with weights, beside a fixed list), threat, target, negation and report. Small weighted transducers read the
-classes of a clause from left to right and are composed by running them in one state:
+Clauses are scored, not words. A first transducer, a trie over words, reads a clause and writes one symbol per word: the
+set of classes that end there, of insult, threat, target, negation and report. Threats, negations and reports are
+phrases of one to four words. Insults are words and stems learned from labelled rows, with weights, beside a fixed list.
 
-* negation opens a scope of a few words in which insults and threats count less;
-* reported speech lowers what follows it in the clause;
-* a target near an insult raises it, and a threat counts only with a target after it.
+Further transducers read the symbols and multiply the insults and threats by weights that depend on what stands around them:
 
-A text's clause scores are added and put through a logistic function that is fitted on the same labelled rows.
+* negation: for a few words after a negation both count less;
+* report: after a phrase of reported speech, and in a clause with quotation marks, both count less;
+* aim: an insult within a few words of a target counts more;
+* address: a threat counts only where a target follows.
+
+Each is a table of states, arcs and weights; those that read a clause forwards are composed once into one table, those that
+read it backwards into another, and a clause is one run over each. Its score is the sum of its weighted insults and
+threats. A text's score is the sum over its clauses, put through a logistic function fitted on the same labelled rows.
+
+Null and empty texts score as a text without an insult. Rows that repeat are scored alike; an id that is labelled twice,
+also with contradicting labels, gives two rows to learn from. Other columns are not read. Without labelled rows of both
+classes, also in empty tables, the fixed lists and an untrained logistic function decide. Texts are scored whole.
 """
 
 from __future__ import annotations
@@ -16,15 +25,16 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import reader, uniform
+from meterlake.llm.common import reader, staged, uniform
 
 WORD = re.compile(r"[^\W\d_]+")
 CLAUSE = re.compile(r"[.!?;:\n]+")
@@ -32,10 +42,16 @@ QUOTED = re.compile(r"[\"“”„«»]")
 
 # Seed words of the classes, in the languages of the corpus.
 INSULTS = "idiot moron stupid scum trash loser pathetic worthless disgusting clown dumb imbecile fool scumbag jerk bastard idiota imbécil estúpido basura idiote imbécile stupide ordure dumm abschaum vollidiot widerlich".split()
-THREATS = "kill hurt destroy murder beat strangle burn matar golpear destruir tuer frapper détruire töten schlagen vernichten umbringen".split()
+THREATS = "kill hurt destroy murder beat strangle burn matar golpear destruir tuer frapper détruire töten schlagen vernichten umbringen".split() + [
+    "beat up", "burn down", "come after", "find out where", "make sure that", "voy a matar", "voy a por", "vas a pagar", "vais te tuer", "vais tuer", "vas payer", "werde dich töten", "bringe dich um", "mach dich fertig",
+]
 TARGETS = "you your yours youre u he she they them him her this these tu te toi vous votre usted ustedes ellos du dich dir euch ihr sie".split()
-NEGATIONS = "not no never neither nor isn aren wasn don doesn nicht kein keine nie niemals pas jamais nunca jamás tampoco".split()
-REPORTS = "said says say wrote writes claimed claims reported quoted called sagte schrieb behauptete dit écrit affirme dijo escribió afirma".split()
+NEGATIONS = "not no never neither nor isn aren wasn don doesn nicht kein keine nie niemals pas jamais nunca jamás tampoco".split() + [
+    "by no means", "not at all", "in no way", "anything but", "far from", "auf keinen fall", "ganz und gar nicht", "pas du tout", "en aucun cas", "para nada", "de ninguna manera",
+]
+REPORTS = "said says say wrote writes claimed claims reported quoted called sagte schrieb behauptete dit écrit affirme dijo escribió afirma".split() + [
+    "according to", "as reported by", "in the words of", "so called", "laut", "wie es heißt", "selon", "d après", "soi disant", "según", "en palabras de", "así llamado",
+]
 
 
 @dataclass(frozen=True)
@@ -74,70 +90,144 @@ class Grammar:
         return weight
 
 
-THREAT, TARGET, NEGATION, REPORT = 1, 2, 4, 8
-CLASSES: dict[str, int] = {}
-for _words, _bit in ((THREATS, THREAT), (TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)):
-    for _w in _words:
-        CLASSES[_w] = CLASSES.get(_w, 0) | _bit
+INSULT, THREAT, TARGET, NEGATION, REPORT = 1, 2, 4, 8, 16
+SYMBOLS = 32
+#: The trie: (state, word) to state; and the classes of the phrases that end in a state.
+TRIE: dict[tuple[int, str], int] = {}
+ENDS: dict[int, int] = {}
+#: The longest word of each threat; a text without any of these and without an insult has no score.
+THREATENING: set[str] = set()
+for _phrases, _class in ((THREATS, THREAT), (TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)):
+    for _phrase in _phrases:
+        _at = 0
+        for _word in _phrase.split():
+            _at = TRIE.setdefault((_at, _word), len(TRIE) + 1)
+        ENDS[_at] = ENDS.get(_at, 0) | _class
+        if _class == THREAT:
+            THREATENING.add(max(_phrase.split(), key=len))
+
+
+@dataclass(frozen=True)
+class Machine:
+    """A deterministic weighted transducer over symbols, as tables by state and symbol."""
+
+    starts: tuple[int, ...]
+    """The state that a plain clause begins in, and a quoted one."""
+    arcs: list[list[int]]
+    insults: list[list[float]]
+    threats: list[list[float]]
+
+    def run(self, symbols: list[int], quoted: bool) -> list[tuple[float, float]]:
+        """What each symbol's insult and threat are multiplied by."""
+        state, out = self.starts[quoted], []
+        for symbol in symbols:
+            out.append((self.insults[state][symbol], self.threats[state][symbol]))
+            state = self.arcs[state][symbol]
+        return out
+
+
+def machine(states: int, starts: tuple[int, int], arc: Callable[[int, int], int], insult: Callable[[int, int], float], threat: Callable[[int, int], float]) -> Machine:
+    table = [[f(q, x) for x in range(SYMBOLS)] for f in (arc, insult, threat) for q in range(states)]
+    return Machine(starts, *(table[i * states : (i + 1) * states] for i in range(3)))
+
+
+def composed(a: Machine, b: Machine) -> Machine:
+    """The machine that does what both do: pairs of states, of those that are reached, and products of weights."""
+    known: dict[tuple[int, int], int] = {}
+    todo = [pair for pair in zip(a.starts, b.starts, strict=True)]
+    arcs, insults, threats = [], [], []
+    for pair in todo:  # grows
+        if pair not in known:
+            known[pair] = len(known)
+            p, q = pair
+            arcs.append([(a.arcs[p][x], b.arcs[q][x]) for x in range(SYMBOLS)])
+            insults.append([a.insults[p][x] * b.insults[q][x] for x in range(SYMBOLS)])
+            threats.append([a.threats[p][x] * b.threats[q][x] for x in range(SYMBOLS)])
+            todo += arcs[-1]
+    return Machine(tuple(known[pair] for pair in zip(a.starts, b.starts, strict=True)), [[known[pair] for pair in row] for row in arcs], insults, threats)
+
+
+def parts(s: Settings) -> tuple[list[Machine], list[Machine]]:
+    """The single machines, those that read forwards and those that read backwards."""
+
+    def after(bit: int, reach: int, fades: bool) -> Callable[[int, int], int]:
+        return lambda q, x: reach if x & bit else max(0, q - 1) if fades else q
+
+    def near(bit: int, factor: float) -> Callable[[int, int], float]:
+        return lambda q, x: factor if q or x & bit else 1.0
+
+    def one(q: int, x: int) -> float:
+        return 1.0
+
+    negated, reported = near(NEGATION, s.negated), near(REPORT, s.reported)
+    negation = machine(s.negation_scope + 1, (0, 0), after(NEGATION, s.negation_scope, True), negated, negated)
+    report = machine(2, (0, 1), after(REPORT, 1, False), reported, reported)
+    aim = machine(s.target_reach + 1, (0, 0), after(TARGET, s.target_reach, True), near(TARGET, s.targeted), one)
+    address = machine(2, (0, 0), after(TARGET, 1, False), one, lambda q, x: float(q))
+    return [negation, report, aim], [aim, address]
+
+
+def grammar_of(s: Settings) -> tuple[Machine, Machine]:
+    """The machines that read forwards, composed, and those that read backwards."""
+    forwards, backwards = parts(s)
+    return reduce(composed, forwards), reduce(composed, backwards)
 
 
 class Tagger(dict):
-    """(classes, insult weight) of each word; ``(0, 0.0)`` for most."""
+    """Insult weight of each word; 0 for most."""
 
     LIMIT = 300_000
 
     def __init__(self, grammar: Grammar):
         self.grammar = grammar
+        self.forwards, self.backwards = grammar_of(grammar.settings)
 
-    def __missing__(self, word: str) -> tuple[int, float]:
-        tag = (CLASSES.get(word, 0), self.grammar.insult(word))
+    def __missing__(self, word: str) -> float:
+        weight = self.grammar.insult(word)
         if len(self) >= self.LIMIT:
             self.clear()
-        self[word] = tag
-        return tag
-
-
-def clause_score(tags: list[tuple[int, float]], quoted: bool, s: Settings) -> float:
-    """Run the composed transducers over the tags of a clause. The state is how much longer a negation holds, whether
-    speech is reported, and how far back the last target and the last insult are."""
-    total, negation, reported, target, pending = 0.0, 0, quoted, 99, 0.0
-    insult_at, insult_value = 99, 0.0
-    for classes, weight in tags:
-        if classes & NEGATION:
-            negation = s.negation_scope + 1
-        if classes & REPORT:
-            reported = True
-        factor = (s.negated if negation > 0 else 1.0) * (s.reported if reported else 1.0)
-        if classes & TARGET:
-            target = 0
-            if pending:
-                total, pending = total + pending, 0.0
-            if insult_at <= s.target_reach:
-                total, insult_at = total + insult_value * (s.targeted - 1), 99
-        if classes & THREAT:
-            pending = s.threat * factor
-        if weight:
-            value = weight * factor
-            if target <= s.target_reach:
-                value *= s.targeted
-                insult_at = 99
-            else:
-                insult_at, insult_value = 0, value
-            total += value
-        negation, target, insult_at = max(0, negation - 1), target + 1, insult_at + 1
+        self[word] = weight
+        return weight
+
+    def symbols(self, words: list[str]) -> list[int]:
+        """Classes at each word, a phrase's at its last one: of phrases the longest, and no other within it."""
+        out = [INSULT if self[word] else 0 for word in words]
+        at = 0
+        while at < len(words):
+            state, end, classes, step = 0, at + 1, 0, at
+            while step < len(words) and (state := TRIE.get((state, words[step]), -1)) >= 0:
+                step += 1
+                if state in ENDS:
+                    end, classes = step, ENDS[state]
+            out[end - 1] |= classes
+            at = end
+        return out
+
+
+def clause_score(words: list[str], quoted: bool, tagger: Tagger) -> float:
+    symbols = tagger.symbols(words)
+    before = tagger.forwards.run(symbols, quoted)
+    behind = reversed(tagger.backwards.run(symbols[::-1], quoted))
+    threat = tagger.grammar.settings.threat
+    total = 0.0
+    for word, symbol, (insult_a, threat_a), (insult_b, threat_b) in zip(words, symbols, before, behind, strict=True):
+        if symbol & INSULT:
+            total += tagger[word] * insult_a * insult_b
+        if symbol & THREAT:
+            total += threat * threat_a * threat_b
     return total
 
 
 def text_score(text: str, tagger: Tagger) -> float:
     """Sum of the scores of the clauses that hold an insult or a threat."""
     low, total = text.lower(), 0.0
-    words = WORD.findall(low)
-    if not any(c & THREAT or w for c, w in map(tagger.__getitem__, set(words))):
+    words = set(WORD.findall(low))
+    if not any(map(tagger.__getitem__, words)) and THREATENING.isdisjoint(words):
         return 0.0
     for clause in CLAUSE.split(low):
-        tags = [tagger[w] for w in WORD.findall(clause)]
-        if any(w or c & THREAT for c, w in tags):
-            total += clause_score(tags, bool(QUOTED.search(clause)), tagger.grammar.settings)
+        words = WORD.findall(clause)
+        if any(map(tagger.__getitem__, words)) or not THREATENING.isdisjoint(words):
+            total += clause_score(words, bool(QUOTED.search(clause)), tagger)
     return total
 
 
@@ -161,14 +251,22 @@ def _features(stems: tuple[int, ...]):
     return run
 
 
-def fit(rows: DataFrame, settings: Settings = Settings()) -> Grammar:
-    """Fit on rows with ``text`` and ``toxic`` (0 or 1; rows with another label are ignored)."""
-    rows = rows.select("text", F.col("toxic").cast("int").alias("toxic")).filter("text is not null and toxic in (0, 1)")
-    total = rows.count()
+def learned_from(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``text, toxic`` of a bounded sample of labelled rows.
+
+    The ids are drawn by hash and written before any text is touched, so that the texts meet a table of about
+    ``sample`` ids, whose size Spark then knows, instead of all labels; the texts drawn are written once.
+    """
+    known = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic")).filter("id is not null and toxic in (0, 1)")
+    share = min(1.0, settings.sample / max(1, known.count()))
+    ids = staged(known.filter(uniform(settings.seed, F.col("id")) < share), "toxic-ids")
+    return staged(docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id")).select("text", "toxic").filter("text is not null"), "toxic-texts")
+
+
+def fit(sample: DataFrame, settings: Settings = Settings()) -> Grammar:
+    """Fit on rows with ``text`` and ``toxic`` (0 or 1; rows with another label are ignored). All of them are read, three times."""
+    sample = sample.select("text", F.col("toxic").cast("int").alias("toxic")).filter("text is not null and toxic in (0, 1)")
     grammar = Grammar(settings, dict.fromkeys(INSULTS, settings.seed_weight))
-    if not total:
-        return grammar
-    sample = rows.filter(uniform(settings.seed, F.col("text")) < min(1.0, settings.sample / total))
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return grammar

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
@@ -208,6 +209,64 @@ def test_toxicity_on_held_out_rows(spark, docs, none):
     assert toxicity.fit(none.withColumn("toxic", F.lit(1))).words["idiot"] > 0
 
 
+def test_composed_machines_are_the_single_ones():
+    rng = random.Random(4)
+    known = toxicity.Settings(negation_scope=2, target_reach=3)
+    for single, whole in zip(toxicity.parts(known), toxicity.grammar_of(known), strict=True):
+        for _ in range(300):
+            symbols, quoted = [rng.choice([0, 0, 0, rng.randrange(toxicity.SYMBOLS)]) for _ in range(rng.randint(0, 25))], rng.random() < 0.3
+            each = [m.run(symbols, quoted) for m in single]
+            product = [(math.prod(i for i, _ in at), math.prod(t for _, t in at)) for at in zip(*each, strict=True)]
+            assert np.allclose(np.array(whole.run(symbols, quoted)).ravel(), np.array(product).ravel())
+
+
+def plain_clause(words, quoted, tagger):
+    """The rules of the grammar, looked up around each word."""
+    s, symbols, total = tagger.grammar.settings, tagger.symbols(words), 0.0
+    has = lambda i, bit: 0 <= i < len(symbols) and symbols[i] & bit
+    for i, word in enumerate(words):
+        factor = s.negated if any(has(j, toxicity.NEGATION) for j in range(i - s.negation_scope, i + 1)) else 1.0
+        factor *= s.reported if quoted or any(has(j, toxicity.REPORT) for j in range(i + 1)) else 1.0
+        if has(i, toxicity.INSULT):
+            aimed = [any(has(j, toxicity.TARGET) for j in around) for around in (range(i - s.target_reach, i + 1), range(i, i + s.target_reach + 1))]
+            total += tagger[word] * factor * s.targeted ** sum(aimed)
+        if has(i, toxicity.THREAT) and any(has(j, toxicity.TARGET) for j in range(i + 1, len(words))):
+            total += s.threat * factor
+    return total
+
+
+def test_clauses_against_their_rules():
+    rng = random.Random(5)
+    tagger = toxicity.Tagger(toxicity.Grammar(words={"idiot": 4.0, "scum": 2.5}))
+    pool = "idiot scum you he kill not by no means said according to so called voy a matar beat up one two three four five six".split()
+    for _ in range(2000):
+        words, quoted = rng.choices(pool, k=rng.randint(0, 14)), rng.random() < 0.2
+        assert toxicity.clause_score(words, quoted, tagger) == pytest.approx(plain_clause(words, quoted, tagger))
+
+
+def test_phrases_are_longest_and_whole():
+    tagger = toxicity.Tagger(toxicity.Grammar())
+    assert tagger.symbols("by no means no".split()) == [0, 0, toxicity.NEGATION, toxicity.NEGATION]
+    assert tagger.symbols("te voy a matar tu".split()) == [toxicity.TARGET, 0, 0, toxicity.THREAT, toxicity.TARGET]
+    assert tagger.symbols("far from far".split()) == [0, toxicity.NEGATION, 0]
+
+
+def test_labelled_rows_are_drawn_by_id(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(1000)] + [(None, "none")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1000)] + [(3, 0), (None, 1), (5, None), (7, 9)], "doc_id long, toxic int")
+    assert toxicity.learned_from(docs, labels).count() == 1001  # one id twice, with both labels
+    few = toxicity.learned_from(docs, labels, toxicity.Settings(sample=100)).collect()
+    assert 50 < len(few) < 160 and all(r.toxic in (0, 1) for r in few)
+    assert toxicity.learned_from(docs.limit(0), labels).count() == 0 == toxicity.learned_from(docs, labels.limit(0)).count()
+
+
+def test_number_signs_are_no_letters(spark):
+    rows = [(i, text) for i, text in enumerate(["½", "①②③", "² Ⅷ", "a½", "12 ½ x"])]
+    learn = spark.createDataFrame([("the cat and the dog", "en"), ("a x the", "en")] * 5, "text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string"), learn, ["doc_id"]).collect()}
+    assert got == {0: "und", 1: "und", 2: "und", 3: "en", 4: "en"}
+
+
 def test_clauses_not_words():
     tagger = toxicity.Tagger(toxicity.Grammar(words={"idiot": 4.0}))
     score = lambda text: toxicity.text_score(text, tagger)
