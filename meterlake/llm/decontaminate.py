@@ -1,14 +1,19 @@
-"""Benchmark decontamination: an exact word-count filter, the longest common subsequence, and latent similarity.
-
-A stretch that leaks an item lacks at most a known number of the item's words. So of the item's rarest words, taken that
-number and a few more, at least those few must stand there: an inverted list over these words finds every stretch that
-can leak, with no loss however many items there are. What is found is checked by the longest common subsequence of words
-and by the item's answer words, in windows that follow the item's length.
-
-Benchmark passages are also weighted by TF-IDF (document frequencies over all documents) and reduced by a randomised
-singular value decomposition that Spark computes over the passages: a random range, power steps, and the small factor.
-The cosine of window and item in that space is reported; it decides nothing, since no fixed rank tells many items apart.
-The benchmark is the stated query set; it is searched in blocks of bounded size against all documents.
+"""Benchmark decontamination: latent semantic retrieval, an exact word-count filter, and the longest common subsequence.
+
+Benchmark passages are weighted by TF-IDF (document frequencies over all documents) and reduced by a randomised singular
+value decomposition that Spark computes over the passages: a random range, power steps, and the small factor; its rank
+follows the number of items. Every document is cut into overlapping windows of about the items' lengths, and the
+items whose cosine with a window is high in that space are candidates: these are paraphrases, which may lack so many of
+the item's words, or have them in another order, that no count of words finds them.
+
+No fixed rank tells many items apart, so a second path loses no copy however many items there are: a stretch that has most
+of an item's words lacks at most a known number of them, so of the item's rarest words, taken that number and a few
+more, at least those few must stand there, which an inverted list over these words finds. The candidates are the union.
+
+All are checked by the longest common subsequence of words and by the item's answer words, in windows that follow the
+item's length: a large part in sequence is a leak by itself, a smaller one where the answer is there too, and a part that is
+smaller still where the cosine is high besides. The benchmark is the stated query set; it is searched in blocks of
+bounded size against all documents.
 """
 
 from __future__ import annotations
@@ -42,6 +47,7 @@ class Settings:
     spare: float = 0.125
     """Share of an item's words that are indexed beyond those a leak may lack; a stretch needs as many of the indexed words."""
     rank: int = 64
+    """Dimensions of the latent space at least; an eighth of the items beyond that, up to four times as many."""
     oversample: int = 8
     power_steps: int = 2
     span: int = 32
@@ -52,6 +58,12 @@ class Settings:
     """Share of an item's words in the common subsequence that is a leak by itself."""
     paraphrase: float = 0.65
     """Share that is a leak where the answer's words are there too."""
+    latent: float = 0.75
+    """Cosine from which an item is a candidate."""
+    reworded: float = 0.5
+    """Share in sequence that is a leak where the cosine is ``latent`` and the answer's words are there too."""
+    latent_words: int = 12
+    """Items with fewer words are too short for a cosine to tell anything."""
     answer: float = 0.8
     min_words: int = 5
     """Items with fewer words must occur whole."""
@@ -124,13 +136,13 @@ def passage_rows(words: list[bytes], idf: np.ndarray, settings: Settings) -> tup
     return ids, weights / norm if norm else weights
 
 
-def decompose(passages: DataFrame, idf: np.ndarray, used: np.ndarray, settings: Settings) -> np.ndarray:
+def decompose(passages: DataFrame, idf: np.ndarray, used: np.ndarray, rank: int, settings: Settings) -> np.ndarray:
     """Right singular vectors of the passages' TF-IDF matrix, used features by rank, by a randomised range finder.
 
     Each step multiplies the matrix's Gram matrix with a thin matrix: every task adds up its passages' part, Spark sums
     the parts by block of features, and the driver only keeps the thin matrix, whose size is fixed by the settings.
     """
-    spark, width = passages.sparkSession, min(settings.rank + settings.oversample, len(used))
+    spark, width = passages.sparkSession, min(rank + settings.oversample, len(used))
     rng = np.random.default_rng(settings.seed)
     step = 1024
 
@@ -167,7 +179,7 @@ def decompose(passages: DataFrame, idf: np.ndarray, used: np.ndarray, settings:
         thin, _ = np.linalg.qr(gram(thin))
     small = thin.T @ gram(thin)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
-    return (thin @ vectors[:, np.argsort(values)[::-1][: settings.rank]]).astype(np.float32)
+    return (thin @ vectors[:, np.argsort(values)[::-1][:rank]]).astype(np.float32)
 
 
 @dataclass
@@ -189,6 +201,12 @@ class Index:
     """Places with indexed words of an item that a stretch needs to leak it."""
     reach: np.ndarray
     """Words of the stretch in which an item is looked for: a window and the item's length before it."""
+    classes: list[tuple[int, np.ndarray]]
+    """Lengths of windows for the latent search, each with the items that are looked for in them."""
+
+
+def rank_of(items: int, settings: Settings) -> int:
+    return min(4 * settings.rank, max(settings.rank, items // 8))
 
 
 def wanted_words(n: int, settings: Settings) -> int:
@@ -221,9 +239,11 @@ def index_of(items: list[tuple], idf: np.ndarray, used: np.ndarray, basis: np.nd
         least.append(held - lacking)
     by_row, lists = np.array(sorted(owners), np.int64).T
     reach = np.array([len(ws) + window_of(len(ws), settings) for ws in words])
+    sizes = np.array([max(settings.span, 1 << (len(ws) - 1).bit_length()) if len(ws) >= settings.latent_words else 0 for ws in words])
+    classes = [(int(size), np.flatnonzero(sizes == size)) for size in np.unique(sizes[sizes > 0])]
     return Index(
         [i for i, _ in items], words, [set(ws) for ws in words], [answer_of(text) for _, text in items], latent / np.maximum(norms, 1e-9), rows, matrix,
-        np.searchsorted(by_row, np.arange(len(vocabulary) + 1)), lists, np.array(least), reach,
+        np.searchsorted(by_row, np.arange(len(vocabulary) + 1)), lists, np.array(least), reach, classes,
     )
 
 
@@ -255,25 +275,54 @@ def candidates(rows: np.ndarray, index: Index, settings: Settings) -> set[tuple[
     return out
 
 
+def latent_candidates(rows: np.ndarray, index: Index, settings: Settings) -> set[tuple[int, int]]:
+    """Items and starts of windows whose cosine in the latent space reaches ``latent``.
+
+    A window is a difference of two running sums of its words' vectors, so windows of every length cost one row each.
+    """
+    out: set[tuple[int, int]] = set()
+    longest = max((size for size, _ in index.classes), default=0)
+    all_known = np.flatnonzero(rows >= 0)
+    for begin in range(0, len(rows) if longest else 0, settings.stretch):
+        known = all_known[slice(*np.searchsorted(all_known, [begin, begin + settings.stretch + longest]))]
+        sums = np.zeros((len(known) + 1, index.matrix.shape[1]), np.float32)
+        np.cumsum(index.matrix[rows[known]], axis=0, out=sums[1:])
+        starts = np.arange(begin, min(begin + settings.stretch, len(rows)), settings.span)
+        firsts = np.searchsorted(known, starts)
+        for size, items in index.classes:
+            lasts = np.searchsorted(known, starts + size)
+            full = np.flatnonzero(lasts - firsts >= settings.reworded * settings.latent_words)
+            windows = sums[lasts[full]] - sums[firsts[full]]
+            lengths = np.sqrt(np.einsum("ij,ij->i", windows, windows))
+            cosines = windows @ index.latent[items].T
+            at, which = np.nonzero(cosines >= settings.latent * np.maximum(lengths, 1e-6)[:, None])
+            out.update(zip(items[which].tolist(), starts[full[at]].tolist(), strict=True))
+    return out
+
+
 def search(words: list[bytes], index: Index, settings: Settings) -> dict[int, tuple[float, float, float]]:
     """For each item that the words leak: cosine, share of its words in sequence, share of its answer's words."""
     get = index.rows.get
     rows = np.array([get(w, -1) for w in words])
     out: dict[int, tuple[float, float, float]] = {}
-    for item, start in sorted(candidates(rows, index, settings)):
+    latent = latent_candidates(rows, index, settings)
+    for item, start in sorted(candidates(rows, index, settings) | latent):
         wanted = index.words[item]
         begin, end = max(0, start - len(wanted)), start + window_of(len(wanted), settings)
         here = words[begin:end]
         held = index.sets[item].intersection(here)
+        near = (item, start) in latent
+        least = math.ceil(settings.reworded * len(wanted)) if near else wanted_words(len(wanted), settings)
         # the common subsequence cannot be longer than the places of the item whose words are here
-        if sum(w in held for w in wanted) < wanted_words(len(wanted), settings):
+        if sum(w in held for w in wanted) < least:
             continue
         short = len(wanted) < settings.min_words
-        share = common_subsequence(wanted, here) / len(wanted)
         answered = sum(w in held for w in index.answers[item]) / len(index.answers[item])
-        if share >= (1.0 if short else settings.near) or not short and share >= settings.paraphrase and answered >= settings.answer:
-            near = rows[begin:end]
-            window = index.matrix[near[near >= 0]].sum(axis=0)
+        share = common_subsequence(wanted, here) / len(wanted)
+        enough = settings.reworded if near else settings.paraphrase
+        if share >= (1.0 if short else settings.near) or not short and share >= enough and answered >= settings.answer:
+            own = rows[start : start + window_of(len(wanted), settings)]
+            window = index.matrix[own[own >= 0]].sum(axis=0)
             found = (float(window @ index.latent[item] / max(np.linalg.norm(window), 1e-9)), share, answered)
             out[item] = max(out.get(item, found), found, key=lambda f: f[1:])
     return out
@@ -295,14 +344,16 @@ def indexes(docs: DataFrame, benchmark: DataFrame, settings: Settings) -> Iterat
         used = np.unique([feature(w, settings) for w in vocabulary])
         df, n = frequencies(docs, vocabulary, settings)
         idf = np.log((n + 1) / (df + 1)) + 0.1
-        yield spark.sparkContext.broadcast(index_of(rows, idf, used, decompose(own, idf, used, settings), settings))
+        yield spark.sparkContext.broadcast(index_of(rows, idf, used, decompose(own, idf, used, rank_of(len(rows), settings), settings), settings))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, item_id, cosine, sequence, answer``: a row for each document that leaks an item.
 
-    Null and wordless texts leak nothing, and items without a word are never leaked. Items with equal texts are found
-    together; repeated rows of a document are each searched and give one row for each item.
+    ``cosine`` is that of the item and the window it was found in. Null and wordless texts leak nothing, and items
+    without a word are never leaked. Items with equal texts are found together; ties of stretches go to the one with the
+    longer sequence, then the more of the answer. Long texts are searched whole, in stretches; an empty table of either
+    kind gives no row, and other columns are not read. Repeated rows of a document are each searched and give one row for each item.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out: DataFrame | None = None

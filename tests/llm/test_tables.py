@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+import os
 import random
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -56,6 +57,45 @@ def test_items_of_any_script_are_found(spark):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i in range(4)} | {(9, 2)}
 
 
+def reworded(rng, words, answer):
+    """Every other word or so replaced, neighbours swapped here and there, the answer as it is."""
+    out = [w if rng.random() < 0.58 else f"syn{rng.randrange(9999)}" for w in words]
+    for k in rng.sample(range(len(out) - 1), 2):
+        out[k], out[k + 1] = out[k + 1], out[k]
+    return " ".join(out) + ". " + " ".join(answer)
+
+
+def test_paraphrases_that_only_the_latent_search_finds(spark):
+    rng = random.Random(31)
+    some = lambda n, tag="w": [f"{tag}{rng.randrange(4000)}" for _ in range(n)]
+    parts = [(i, some(36), some(5)) for i in range(60)]
+    items = [(i, " ".join(words) + ". " + " ".join(answer)) for i, words, answer in parts]
+    rows = [(i, " ".join([*some(rng.randint(20, 90), "f"), reworded(rng, words, answer), *some(rng.randint(20, 90), "f")])) for i, words, answer in parts]
+    rows += [(1000 + i, " ".join([*some(60, "f"), *rng.sample([w for _, ws, _ in parts for w in ws], 80)])) for i in range(60)]
+    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    known = decontaminate.Settings()
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(docs, benchmark).collect()}
+    without = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, benchmark, decontaminate.Settings(latent=2.0)).collect()}
+    assert all(d == i for d, i in got)  # no text made of many items' words
+    below = {pair for pair, r in got.items() if r.sequence < known.paraphrase}
+    assert without == set(got) - below and len(below) >= 20
+    assert all(r.cosine > 0 and r.answer >= known.answer for r in got.values())
+    # of all that has half of its item's words in sequence, by brute force
+    half = {i for i, text in rows[:60] if decontaminate.common_subsequence(decontaminate.words_of(items[i][1].encode()), decontaminate.words_of(text.encode())) >= 21}
+    assert len(half & {d for d, _ in got}) >= 0.9 * len(half)
+
+
+@pytest.mark.parametrize("n", [200, 2000, pytest.param(20_000, marks=pytest.mark.skipif(not os.environ.get("METERLAKE_ALL"), reason="two minutes"))])
+def test_recall_does_not_fall_with_the_number_of_items(spark, n):
+    rng = random.Random(n)
+    some = lambda k: " ".join(f"w{rng.randrange(30_000)}" for _ in range(k))
+    items = [(i, some(rng.randint(20, 60))) for i in range(n)]
+    probes = rng.sample(items, 100)
+    rows = [(i, " ".join([some(rng.randint(0, 90)), text, some(rng.randint(0, 90))])) for i, text in probes]
+    got = decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), decontaminate.Settings(power_steps=0))
+    assert {r.doc_id for r in got.filter("doc_id = item_id and sequence = 1").collect()} == {i for i, _ in probes}
+
+
 def test_no_whole_copy_is_lost_among_many_items(spark):
     rng = random.Random(21)
     some = lambda n: " ".join(f"w{rng.randrange(6000)}" for _ in range(n))
