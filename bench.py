@@ -35,6 +35,14 @@ HEADLINE = [
     "lake_upsert_table",
     "offcadence_preview",
     "offcadence_clean",
+    "audit_samples",
+    "status_or_numeric",
+    "ingest_mixed",
+    "reingest_window",
+    "site_import",
+    "lake_csv_rejects",
+    "nem13_ingest_days",
+    "stream_upsert",
     "billing_snapshot",
     "billing_currency",
     "site_diff",
