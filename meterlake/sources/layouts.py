@@ -19,7 +19,7 @@ from meterlake.functions import stamps
 from meterlake.functions.coerce import ignore_blank, is_blank, number
 from meterlake.functions.text import cell, cells, first_cell, has_columns, has_content, named
 from meterlake.schemas import IGNORED, conform
-from meterlake.sources.lines import table_rows
+from meterlake.sources.lines import place, table_rows
 
 ROW, HEADER = "row", "header"
 
@@ -69,10 +69,12 @@ STATUS_CODES = {
     "Inverter Update being Performed": 12,
     "AFCI Event": 13,
 }
+# Texts that mark a file without data, and the marker of a logger file.
 NO_INTERVAL_DATA = "No data is available"
 NO_DEMAND_DATA = "No data found"
 COMX_MARKER = "ComX510_Green_Square"
 
+# Columns that a layout needs.
 WATER_COLUMNS = ["Serial_No", "Interval_Start", "Interval_End", "Consumption", "Consumption Unit"]
 ELECTRICITY_COLUMNS = ["Serial_No", "Interval_Start", "Interval_End", "kWh"]
 BULK_COLUMNS = ["Serial_No", "Date_Time", "kL"]
@@ -92,9 +94,11 @@ class Layout:
     flags: dict[str, Callable[[], Column]] = field(default_factory=dict)
     utf16: bool = False
     keep_blank_lines: bool = False
+    names: tuple[str, ...] = ()
+    """Columns that are looked up in the header once per file."""
 
     def rows(self, lines: DataFrame) -> DataFrame:
-        return table_rows(lines, self.header_line, self.keep_blank_lines)
+        return table_rows(lines, self.header_line, self.keep_blank_lines, self.names)
 
     def read(self, lines: DataFrame) -> DataFrame:
         return self.parse(self.rows(lines))
@@ -104,6 +108,15 @@ def _field(name: str) -> Column:
     return cell(ROW, HEADER, name)
 
 
+def _place(name: str) -> Column:
+    return F.col(f"`{place(name)}`")
+
+
+def _at(name: str) -> Column:
+    """The cell under one of the layout's ``names``."""
+    return F.get(ROW, _place(name))
+
+
 def _value(column: str, raw: Column, present: Column | None = None, **extra: Column) -> Column:
     """One cell of a row before the unpivot."""
     nothing = F.lit(None).cast("string")
@@ -187,14 +200,14 @@ def _per_row(row_reason: Column, cell_reason: Column) -> Column:
 
 
 def parse_interval(rows: DataFrame) -> DataFrame:
-    ts = stamps.parse_any(F.concat_ws(" ", _field("Date"), _field("Start Time")), stamps.INTERVAL_PATTERNS)
+    ts = stamps.parse_any(F.concat_ws(" ", _at("Date"), _at("Start Time")), stamps.INTERVAL_PATTERNS)
     values = [
-        _value(c, _field(c), F.array_contains(HEADER, c), suffix=F.lit(s), uom=F.lit("kWh")) for c, s in INTERVAL_FIELDS
+        _value(c, _at(c), _place(c) >= 0, suffix=F.lit(s), uom=F.lit("kWh")) for c, s in INTERVAL_FIELDS
     ]
     flat = _unpivot(
         rows,
         "interval",
-        ids.prefixed(_field("Identifier"), ids.OPTIMA),
+        ids.prefixed(_at("Identifier"), ids.OPTIMA),
         ts,
         values,
         of_cells={
@@ -213,12 +226,13 @@ def parse_interval(rows: DataFrame) -> DataFrame:
 
 def row_shape(required: list[str]) -> Column:
     """Why a ragged row is skipped: too many cells, no identifier cell, or another required cell missing."""
-    names = F.array(*[F.lit(c) for c in required])
-    missing = F.exists(names, lambda c: F.get(ROW, (F.array_position(HEADER, c) - 1).cast("int")).isNull())
+    # a row ends before the last of its required columns, or a column is absent
+    missing = F.greatest(*map(_place, required)) >= F.size(ROW)
+    absent = F.least(*map(_place, required)) < 0
     return (
         F.when(F.size(ROW) > F.size(HEADER), F.lit("row_shape_mismatch"))
-        .when(_field("Identifier").isNull(), F.lit("row_anchor_failure"))
-        .when(missing, F.lit("row_shape_mismatch"))
+        .when(_at("Identifier").isNull(), F.lit("row_anchor_failure"))
+        .when(missing | absent, F.lit("row_shape_mismatch"))
     )
 
 
@@ -235,13 +249,15 @@ def _report(rows: DataFrame, fmt: str, required: list[str], ts: Column, values:
 
 DEMAND_COLUMNS = ["Identifier", "ReadingDateTime", *[c for c, _, _ in DEMAND_FIELDS]]
 BILLING_COLUMNS = ["Identifier", "Date", *[c for c, _, _ in BILLING_FIELDS]]
+BILLING_UNITS = ["Usage Measurement Unit", "Spend Currency"]
+INTERVAL_COLUMNS = ["Identifier", "Date", "Start Time", *[c for c, _ in INTERVAL_FIELDS]]
 
 
 def parse_demand(rows: DataFrame) -> DataFrame:
-    ident = F.trim(_field("Identifier"))
-    ts = stamps.parse_any(_field("ReadingDateTime"), stamps.DEMAND_PATTERNS)
+    ident = F.trim(_at("Identifier"))
+    ts = stamps.parse_any(_at("ReadingDateTime"), stamps.DEMAND_PATTERNS)
     values = [
-        _value(c, F.trim(_field(c)), uom=F.lit(u), key=F.concat(F.lit(ids.OPTIMA), ident, F.lit(f"-demand-{s}")))
+        _value(c, F.trim(_at(c)), uom=F.lit(u), key=F.concat(F.lit(ids.OPTIMA), ident, F.lit(f"-demand-{s}")))
         for c, s, u in DEMAND_FIELDS
     ]
     return _report(rows, "demand", DEMAND_COLUMNS, ts, values, ident)
@@ -250,16 +266,16 @@ def parse_demand(rows: DataFrame) -> DataFrame:
 def parse_billing(rows: DataFrame) -> DataFrame:
     known = rows.select(
         "*",
-        F.trim(_field("Identifier")).alias("ident"),
-        ids.unit_or_default(F.trim(_field("Usage Measurement Unit")), "kWh").alias("usage"),
-        ids.unit_or_default(F.trim(_field("Spend Currency")), "AUD").alias("spend"),
+        F.trim(_at("Identifier")).alias("ident"),
+        ids.unit_or_default(F.trim(_at("Usage Measurement Unit")), "kWh").alias("usage"),
+        ids.unit_or_default(F.trim(_at("Spend Currency")), "AUD").alias("spend"),
     )
     ident = F.col("ident")
     values = [
-        _value(c, F.trim(_field(c)), uom=F.col(ids.billing_unit_source(s)), key=F.concat(ident, F.lit(f"-{s}")))
+        _value(c, F.trim(_at(c)), uom=F.col(ids.billing_unit_source(s)), key=F.concat(ident, F.lit(f"-{s}")))
         for c, s, _ in BILLING_FIELDS
     ]
-    return _report(known, "billing", BILLING_COLUMNS, stamps.billing_month(_field("Date")), values, ident)
+    return _report(known, "billing", BILLING_COLUMNS, stamps.billing_month(_at("Date")), values, ident)
 
 
 # ---- one meter per row: water, electricity, bulk water, logger --------------
@@ -550,6 +566,7 @@ LAYOUTS: list[Layout] = [
         _needs(BILLING_COLUMNS),
         reason="all_blank",
         utf16=True,
+        names=(*BILLING_COLUMNS, *BILLING_UNITS),
     ),
     Layout(
         "demand",
@@ -560,6 +577,7 @@ LAYOUTS: list[Layout] = [
         _needs(DEMAND_COLUMNS),
         flags={EMPTY: _demand_empty},
         reason="all_blank",
+        names=tuple(DEMAND_COLUMNS),
     ),
     Layout(
         "interval",
@@ -569,6 +587,7 @@ LAYOUTS: list[Layout] = [
         _interval_ok,
         flags={EMPTY: _interval_empty, FAILED: _ragged},
         reason="all_blank",
+        names=tuple(INTERVAL_COLUMNS),
     ),
     Layout(
         "envizi_bulk_water",

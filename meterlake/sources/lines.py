@@ -153,18 +153,25 @@ def headers(lines: DataFrame, line_no: int) -> DataFrame:
     )
 
 
-def table_rows(lines: DataFrame, line_no: int = 1, keep_blank_lines: bool = False) -> DataFrame:
+def place(name: str) -> str:
+    """The column that holds where a file's header has ``name``, from 0; -1 where it has not."""
+    return f"at {name}"
+
+
+def table_rows(lines: DataFrame, line_no: int = 1, keep_blank_lines: bool = False, names: tuple[str, ...] = ()) -> DataFrame:
     """Data rows below the header on line ``line_no``, each with its file's header.
 
+    The header is searched for ``names`` once per file, not once per row and cell; ``place`` says where they are.
     The join side is one row per file. Whether it is broadcast is left to
     Spark, which knows its size; otherwise the join shuffles by file and a
     dominant file is split by adaptive skew handling.
     """
     body = lines if keep_blank_lines else lines.filter(F.trim("line") != "")
+    places = [(F.array_position("header", F.lit(name)) - 1).cast("int").alias(place(name)) for name in names]
     return (
-        body.join(headers(lines, line_no), "file")
+        body.join(headers(lines, line_no).select("*", *places), "file")
         .filter((F.col("split") > 0) | (F.col("pos") > F.col("header_pos")))
-        .select("file", "split", "pos", "header", "head", cells(F.col("line")).alias("row"))
+        .select("file", "split", "pos", "header", "head", *[F.col(f"`{place(name)}`") for name in names], cells(F.col("line")).alias("row"))
     )
 
 

@@ -30,7 +30,7 @@ def nem12_parse(spark, sf):
     return nem12.parse_lines(nem12_lines(spark, sf)).filter(F.col("val").isNotNull()).select(*FILLED)
 
 
-def nem12_blocks_parse(spark, sf):
+def block_readings(spark, sf):
     """The shuffle-free reader, on blocks held in a table."""
     blocks = nem12_blocks(spark, sf).select(
         "file",
@@ -38,7 +38,11 @@ def nem12_blocks_parse(spark, sf):
         F.lit(0).cast("long").alias("pos"),
         F.substring_index(F.regexp_replace("text", "^200,", ""), "\n900", 1).alias("block"),
     )
-    return nem12.expand_days(nem12.days_from_blocks(blocks)).filter(F.col("val").isNotNull()).select(*FILLED)
+    return nem12.expand_days(nem12.days_from_blocks(blocks))
+
+
+def nem12_blocks_parse(spark, sf):
+    return block_readings(spark, sf).filter(F.col("val").isNotNull()).select(*FILLED)
 
 
 def nem12_file_scan(spark, sf):
@@ -100,8 +104,8 @@ FROM hit WHERE n = 1"""
 
 
 def nem12_daily_kwh(spark, sf):
-    """Flagship: lines to readings to sensors to daily totals."""
-    readings = nem12.parse_lines(nem12_lines(spark, sf))
+    """Flagship: blocks to readings to sensors to daily totals."""
+    readings = block_readings(spark, sf)
     rows = resolve.to_lake(resolve.resolve(readings, meter_map(spark, sf)))
     daily = series.daily_totals(rows.filter(F.col("unit") == "kwh"))
     return daily.select("sensorId", "day", F.round("total", 4).alias("total"), "readings")
