@@ -26,6 +26,8 @@ log = logging.getLogger(__name__)
 
 # Fixed value: files of one run; a drain makes as many runs as there are files for.
 BATCH_FILES = 400
+#: Meter data with quoted record types: without a plain separator it is cut by lines, each split with the context before it.
+BY_LINE = "nem by line"
 
 
 @dataclass(frozen=True)
@@ -63,7 +65,7 @@ def _classified(tops: DataFrame, lines_of: Callable[[DataFrame], DataFrame]) ->
     late = staged(late_records(lines_of(unknown.select("file"))), "late")
     if not late.isEmpty():
         nothing = F.lit(None).cast("string")
-        late = late.join(unknown, "file").select("file", "name", "fmt", nothing.alias("status"), nothing.alias("reason"), "envelope")
+        late = late.join(unknown, "file").select("file", "name", "fmt", nothing.alias("status"), nothing.alias("reason"), "envelope", "quoted")
         files = staged(files.join(late, "file", "left_anti").unionByName(late), "files")
     doubtful = staged(rivals(files, tops), "rivals")
     if doubtful.isEmpty():
@@ -123,7 +125,9 @@ def _path() -> Column:
 
 def _paths(files: DataFrame) -> dict[str, list[str]]:
     """Paths per layout, of the files of one run."""
-    rows = files.filter(F.col("status").isNull()).select("fmt", _path()).collect()
+    by_line = (F.col("fmt") == "nem") & F.col("quoted") & ~F.lower("file").endswith(".zip")
+    fmt = F.when(by_line, F.lit(BY_LINE)).otherwise(F.col("fmt"))
+    rows = files.filter(F.col("status").isNull()).select(fmt.alias("fmt"), _path()).collect()
     found: dict[str, list[str]] = {}
     for row in rows:
         found.setdefault(row["fmt"], []).append(row["path"])
@@ -151,6 +155,9 @@ def ingest_files(spark: SparkSession, paths: list[str], mapping: DataFrame) -> I
     by_layout = _paths(files)
     readings, flags = [_nothing(spark)], []
     for name, of_layout in by_layout.items():
+        if name == BY_LINE:
+            readings.append(read_nem("nem", read_lines(spark, of_layout)))
+            continue
         loose = [p for p in of_layout if not p.lower().endswith(".zip")]
         boxed = len(loose) < len(of_layout)
         if boxed:

@@ -12,6 +12,7 @@ from meterlake.sources.layouts import BY_NAME, LAYOUTS, NO_DEMAND_DATA
 
 NEM_HEAD = f'^{BOM}?\\s*"?(100|200|250|300)"?\\s*,'
 ENVELOPE = "^100,NEM1[23],"
+QUOTED = f'^{BOM}?\\s*"200"\\s*,'
 ACCUMULATION = f'^{BOM}?\\s*"?100"?\\s*,\\s*"?NEM13"?'
 NEM = ("nem", "nem13")
 
@@ -49,6 +50,7 @@ def classify(heads: DataFrame, meter: bool = True) -> DataFrame:
         "name",
         "head",
         F.coalesce(F.get("head", F.lit(0)), F.lit("")).rlike(ENVELOPE).alias("envelope"),
+        F.exists("head", lambda line: line.rlike(QUOTED)).alias("quoted"),
         F.when(~F.col("unreadable"), fmt).alias("fmt"),
     )
     with_header = found.select(
@@ -68,7 +70,7 @@ def classify(heads: DataFrame, meter: bool = True) -> DataFrame:
         .when(F.col("fmt") == "demand", F.when(F.col("status").isNotNull(), F.lit("no_data_sentinel")))
         .otherwise(fixed)
     )
-    return judged.select("file", "name", "fmt", "status", reason.alias("reason"), "envelope")
+    return judged.select("file", "name", "fmt", "status", reason.alias("reason"), "envelope", "quoted")
 
 
 def content_flags(name: str, lines: DataFrame) -> DataFrame:
@@ -121,13 +123,13 @@ def settle_nem(files: DataFrame, readings: DataFrame) -> DataFrame:
 
 
 def late_records(lines: DataFrame) -> DataFrame:
-    """``file, fmt, envelope`` of the files that hold a meter record, on whatever line.
+    """``file, fmt, envelope, quoted`` of the files that hold a meter record, on whatever line.
 
     For files whose head suits no layout: any number of lead lines may stand above the first record.
     """
     line = F.col("line")
-    found = lines.filter(line.rlike(NEM_HEAD)).groupBy("file").agg(F.max(line.rlike(ACCUMULATION)).alias("sums"), F.max(line.rlike(ENVELOPE)).alias("envelope"))
-    return found.select("file", F.when(F.col("sums"), F.lit("nem13")).otherwise(F.lit("nem")).alias("fmt"), "envelope")
+    found = lines.filter(line.rlike(NEM_HEAD)).groupBy("file").agg(F.max(line.rlike(ACCUMULATION)).alias("sums"), F.max(line.rlike(ENVELOPE)).alias("envelope"), F.max(line.rlike(QUOTED)).alias("quoted"))
+    return found.select("file", F.when(F.col("sums"), F.lit("nem13")).otherwise(F.lit("nem")).alias("fmt"), "envelope", "quoted")
 
 
 def rivals(files: DataFrame, tops: DataFrame) -> DataFrame:

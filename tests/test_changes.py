@@ -66,6 +66,24 @@ def test_lead_lines_lose_nothing(spark, folder, mapping, lead):
     assert got["register.csv"][0] == "nem13"
 
 
+def test_a_quoted_file_is_read_by_many_tasks(spark, folder, mapping):
+    days = [f"{dt.date(2015, 1, 1) + dt.timedelta(d):%Y%m%d}" for d in range(700)]
+    plain = "100,NEM12,202401010000,A,B\n" + "".join(
+        f"200,N{m},E1,1,E1,N1,S,kWh,60,\n" + "".join(f"300,{day},{','.join(str((m + i) % 9) for i in range(24))},A,,,,\n" for day in days) for m in (1, 2, 3)
+    )
+    (folder / "plain.csv").write_text(plain)
+    (folder / "quoted.csv").write_text(plain.replace("200,N", '"200",N').replace("300,2", '"300",2'))
+    assert len((folder / "quoted.csv").read_bytes()) > 2 * 65536
+    rows = {}
+    for name in ("plain", "quoted"):
+        done = ingest.ingest_files(spark, [str(folder / f"{name}.csv")], mapping(**{f"N{m}-E1": f"p:{m}" for m in (1, 2, 3)}))
+        rows[name] = done.rows().select("sensorId", "ts", "val", "quality")
+        if name == "quoted":
+            assert done.resolved.select("split").distinct().count() > 1
+    assert rows["plain"].count() == rows["quoted"].count() == 3 * 700 * 24
+    assert rows["plain"].exceptAll(rows["quoted"]).isEmpty()
+
+
 def test_an_accumulated_quantity_is_spread_over_its_days(spark, folder, mapping):
     record = ["250", "N1", "11", "1", "E1", "N1", "S", "E", "1", "20240101000000", "A", "", "", "5", "20240104000000", "A", "", "", "6", "kWh", "", "", ""]
     (folder / "r.csv").write_text("100,NEM13,202401010000,A,B\n" + ",".join(record) + "\n900\n")
