@@ -11,7 +11,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from meterlake.session import local_session
+from meterlake.session import clear_scratch, local_session
 from meterlake.workload.registry import QUERIES
 
 HEADLINE = [
@@ -60,6 +60,7 @@ def main() -> None:
         began = time.perf_counter()
         QUERIES[name][0](spark, sf).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - began, 3)
+        clear_scratch(spark)
     scale = re.search(r"sf([0-9.]+)", sf)
     print(
         json.dumps(

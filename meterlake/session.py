@@ -16,6 +16,10 @@ SETTINGS = {
 }
 
 
+#: Scratch folders of this application.
+_FOLDERS: set[str] = set()
+
+
 def local_session(cpus: int | str = "*", partitions: int = 8, **extra: str) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("meterlake")
@@ -46,7 +50,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{base.rstrip('/')}/meterlake/{name}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/meterlake/{spark.sparkContext.applicationId}"
+    _FOLDERS.add(folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written to its scratch folders; call it when no result is to be read any more.
+
+    Results are lazy and read their staged tables when they are used, so nothing can go earlier by itself.
+    """
+    for folder in sorted(_FOLDERS):
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    _FOLDERS.clear()
 
 
 def staged(df: DataFrame, name: str = "stage", sort: list[str] | None = None) -> DataFrame:

@@ -12,10 +12,11 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 @pytest.fixture(scope="session")
 def spark():
-    from meterlake.session import local_session
+    from meterlake.session import clear_scratch, local_session
 
     session = local_session(4, partitions=4, **{"spark.sql.files.maxPartitionBytes": "65536"})
     yield session
+    clear_scratch(session)
     session.stop()
 
 
