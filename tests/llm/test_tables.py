@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from llm.data import SCHEMA, documents, prose
 from meterlake.llm import decontaminate, mixing, warc
-from meterlake.llm.queries import QUERIES
+from meterlake.llm.queries import QUERIES, SQL
+from oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
 
@@ -284,10 +285,42 @@ def test_rows_that_share_an_id_or_have_none_stand_for_themselves(spark, folder):
     assert Counter((r.doc_id, r.text) for r in clean.collect()) == Counter(r for r in rows if r[1] not in (leak, rows[9][1]))
 
 
+#: The columns that each query has to return, with their types, and the table of which it returns every row's key once.
+CONTRACTS = {
+    "op1_decontamination": ("doc_id bigint, item_id bigint", None),
+    "op2_language": ("doc_id bigint, held_out boolean, lang_pred string, score double", "documents"),
+    "op3_tokens": ("doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean", "documents"),
+    "op4_pii": ("doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string", "documents"),
+    "op5_substrings": ("doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string", "documents"),
+    "op6_jaccard": ("doc_id bigint, n_shingles bigint, component_id bigint", "documents"),
+    "op7_quality": ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean", "documents"),
+    "op8_toxicity": ("doc_id bigint, held_out boolean, score double, predicted int", "documents"),
+    "op9_mixing": ("doc_id bigint, source string", None),
+    "op10_warc": ("page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint", "pages"),
+    "op11_conversations": ("conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string, repaired_sha256 string", "conversations"),
+    "op12_packing": ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint", "documents"),
+    "op13_resampling": ("doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint", "documents"),
+}
+
+
 @pytest.mark.skipif(not Path(SF).exists(), reason="tables not present")
 @pytest.mark.parametrize("name", list(QUERIES))
-def test_registered_query_runs(spark, name):
+def test_registered_query_keeps_its_contract(spark, name):
     out = QUERIES[name](spark, SF)
-    assert out.count() >= 0
-    key = "page_id" if name.startswith("op10") else "doc_id"
-    assert key in out.columns
+    columns, source = CONTRACTS[name]
+    types = dict(out.dtypes)
+    assert {c: types.get(c) for c, _ in map(str.split, columns.split(", "))} == dict(map(str.split, columns.split(", ")))
+    key = columns.split(" ")[0]
+    got = Counter(r[0] for r in out.select(key).collect())
+    assert got
+    if source:
+        rows = [r[0] for r in spark.read.parquet(f"{SF}/{source}.parquet").select(key).collect()]
+        assert set(got) == set(rows)
+        if name != "op12_packing":
+            assert got == (Counter(set(rows)) if source == "conversations" else Counter(rows))
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="tables not present")
+@pytest.mark.parametrize("name", list(SQL))
+def test_registered_query_matches_its_sql(spark, name):
+    assert compare(QUERIES[name](spark, SF), connect(SF), SQL[name]) is None
