@@ -46,12 +46,20 @@ class EmptySnapshot(RuntimeError):
 
 
 def billing_rows(lake: DataFrame, reverse: DataFrame, start: str = START) -> DataFrame:
-    """The latest value of each meter, month and field."""
-    rows = lake.filter(F.col("ts") >= F.lit(start).cast("timestamp_ntz")).select("sensorId", "ts", "val", "unit")
-    named = rows.join(reverse.withColumnRenamed("sensor_id", "sensorId"), "sensorId")
+    """The latest value of each meter, month and field.
+
+    Rows are shuffled by sensor before they are joined, so that Spark chooses the join by what it has counted: before that
+    a lake made of wide rows looks far smaller than it is, and would be broadcast. A sensor has at most a reading per
+    slot, so none is hot. What is left, a row per sensor and month, is dealt by meter once; the rest of the report follows that.
+    """
+    rows = lake.filter(F.col("ts") >= F.lit(start).cast("timestamp_ntz")).select("sensorId", month_key(F.col("ts")).alias("month"), "ts", "val", "unit")
+    last = F.max(F.struct("ts", "val", "unit")).alias("last")
+    newest = rows.repartition("sensorId").groupBy("sensorId", "month").agg(last)
+    named = newest.join(reverse.withColumnRenamed("sensor_id", "sensorId"), "sensorId").select("nmi", "month", "field", "last")
     return (
-        named.groupBy("nmi", month_key(F.col("ts")).alias("month"), "field")
-        .agg(F.max(F.struct("ts", "val", "unit")).alias("last"))
+        named.repartition("nmi")
+        .groupBy("nmi", "month", "field")
+        .agg(F.max("last").alias("last"))
         .select("nmi", "month", "field", F.col("last")["val"].alias("val"), F.col("last")["unit"].alias("unit"))
     )
 

@@ -59,10 +59,14 @@ def read_whitelist(spark: SparkSession, path: str) -> DataFrame:
 
 
 def billing_reverse(mapping: DataFrame) -> DataFrame:
-    """``(sensor_id, nmi, field)`` of every billing key; a repeated sensor keeps its last key."""
+    """``(sensor_id, nmi, field)`` of every billing key; a repeated sensor keeps its last key.
+
+    Shuffled before it is grouped: hardly a sensor repeats, so a task that reads many keys would only sort them all.
+    """
     nmi, field = billing_key_parts(F.col("lookup_key"))
     return (
         mapping.filter(nmi.isNotNull())
+        .repartition("sensor_id")
         .groupBy("sensor_id")
         .agg(F.max("lookup_key").alias("lookup_key"))
         .select("sensor_id", nmi.alias("nmi"), field.alias("field"))

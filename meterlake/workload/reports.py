@@ -28,7 +28,8 @@ METER_SQL = "CASE WHEN {k} % 4 = 0 THEN lpad(CAST({k} AS VARCHAR), 10, '0') || '
 
 
 def bill_map(spark, sf):
-    rows = table(spark, sf, "customer").select("c_custkey", F.explode(F.array(*[F.lit(s) for s in SUFFIXES])).alias("s"))
+    # spread before each row becomes many: a task reads whole row groups
+    rows = table(spark, sf, "customer").select("c_custkey").repartition("c_custkey").select("c_custkey", F.explode(F.array(*[F.lit(s) for s in SUFFIXES])).alias("s"))
     return rows.select(
         F.concat(_meter("c_custkey"), F.lit("-"), F.col("s")).alias("lookup_key"),
         F.concat(F.lit("p:bill:"), F.col("c_custkey"), F.lit(":"), F.col("s")).alias("sensor_id"),
@@ -38,7 +39,7 @@ def bill_map(spark, sf):
 def bill_rows(spark, sf):
     """Every order as a bill: three quarters of the fields, the month of the order."""
     fields = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(s).alias("s")) for i, s in enumerate(SUFFIXES)])
-    rows = table(spark, sf, "orders").select("*", F.explode(fields).alias("f"))
+    rows = table(spark, sf, "orders").repartition("o_orderkey").select("*", F.explode(fields).alias("f"))
     is_money = F.contains("f.s", F.lit("charge")) | F.contains("f.s", F.lit("spend"))
     currency = F.when(F.col("o_custkey") % 5 == 1, pick(["nzd", "AUD"], F.col("o_orderkey") % 2)).otherwise(
         pick(["aud", "nzd", ""], F.col("o_custkey") % 3)
