@@ -77,7 +77,7 @@ SELECT suffix, count(*) FILTER ({SUPPORTED_SQL}) AS supported, count(*) AS rows
 
 
 def _resolved(spark, sf):
-    return resolve.resolve(nem12.parse_lines(nem12_lines(spark, sf)), meter_map(spark, sf))
+    return nem12.parse_lines(nem12_lines(spark, sf), meter_map(spark, sf))
 
 
 def _outcomes(spark, sf):

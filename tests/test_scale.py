@@ -55,3 +55,20 @@ def test_of_two_sensors_of_a_field_the_later_value_counts(spark):
     lake = spark.sql("""SELECT * FROM VALUES ('p:a', TIMESTAMP_NTZ'2025-02-01', 1.0D, 'kwh'), ('p:b', TIMESTAMP_NTZ'2025-02-01', 2.0D, 'kwh'),
       ('p:b', TIMESTAMP_NTZ'2024-02-01', 9.0D, 'kwh') AS t(sensorId, ts, val, unit)""")
     assert [tuple(r) for r in billing.billing_rows(lake, billing_reverse(mapping)).collect()] == [("N1", "2025-02-01", "total_usage", 2.0, "kwh")]
+
+
+def test_sensors_are_looked_up_before_days_are_spread(spark, threshold):
+    from meterlake.operators import resolve
+    from meterlake.sources import nem12
+
+    values = ",".join(str(i) for i in range(48))
+    text = ["100,NEM12,202402010000,A,B", f"300,20240101,{values},A,,,,"]  # a day without a meter
+    for nmi in ("N1", "N2", "p:direct"):
+        text += [f"200,{nmi},E1,1,E1,N1,S,kWh,30,", f"300,20240101,{values},A,,,,", f"300,20240102,{','.join([''] * 48)},A,,,,"]
+    lines = spark.createDataFrame([("f.csv", 0, i, x) for i, x in enumerate(text)], "file string, split long, pos long, line string")
+    mapping = spark.createDataFrame([("N1-E1", "p:n1")], "lookup_key string, sensor_id string")
+    early, late = nem12.parse_lines(lines, mapping), resolve.resolve(nem12.parse_lines(lines), mapping)
+    assert early.columns == late.columns
+    assert sorted(map(str, early.collect())) == sorted(map(str, late.collect()))
+    plan = early._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("posexplode") < plan.index("_mapped")
