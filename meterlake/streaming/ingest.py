@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from meterlake.functions.text import decode_key
 from meterlake.operators import lake
 from meterlake.plans import ingest
-from meterlake.session import staged
 from meterlake.sources.tables import CORRUPT, lake_csv, rejects
 from meterlake.streaming.totals import observed
 
@@ -44,21 +43,29 @@ def lake_rows(
     spark: SparkSession, source: str, lake_path: str, checkpoint: str,
     max_files: int = ingest.BATCH_FILES, archive: str | None = None,
 ) -> StreamingQuery:
-    """Lake-source CSV files into the lake. An empty batch only consumes its files.
+    """Lake-source CSV files into the lake; returns when all are there. An empty batch only consumes its files.
 
-    A batch is written to the scratch folder once, since its rows, the lines that do not fit (kept below
-    ``<lake>_unreadable``, by batch) and the counts for ``totals.BatchTotals`` come from one reading.
+    A batch is written once, beside the lake, since its rows, the lines that do not fit (kept below ``<lake>_unreadable``,
+    by batch) and the counts for ``totals.BatchTotals`` come from one reading. The batches of a drain are merged at its end,
+    in one change; those of a drain that broke off, by the next.
     """
+
+    def usable(put: DataFrame) -> DataFrame:
+        return put.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+    lake.settle(spark, lake_path, usable)
     rows = lake_csv(_source(spark, "csv", max_files, archive)).load(source)
     rows = rows.select("*", F.col("_metadata.file_path").alias("file"), F.current_timestamp().cast("timestamp_ntz").alias("ats"))
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        session, held = batch.sparkSession, staged(batch, "stream-batch")
-        lake.upsert_readings(session, lake_path, held.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
+        held = batch.sparkSession.read.schema(batch.schema).parquet(lake.defer(lake_path, batch, batch_id))
         bad = rejects(held).withColumn("batch", F.lit(batch_id))
         bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{lake_path.rstrip('/')}_unreadable")
 
-    return _drain(observed(rows, CORRUPT), checkpoint, work)
+    query = _drain(observed(rows, CORRUPT), checkpoint, work)
+    query.awaitTermination()
+    lake.settle(spark, lake_path, usable)
+    return query
 
 
 def source_files(

@@ -72,3 +72,34 @@ def test_sensors_are_looked_up_before_days_are_spread(spark, threshold):
     assert sorted(map(str, early.collect())) == sorted(map(str, late.collect()))
     plan = early._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("posexplode") < plan.index("_mapped")
+
+
+def test_batches_of_a_drain_are_merged_once(spark, tmp_path, monkeypatch):
+    import os
+
+    from meterlake.operators import lake
+    from meterlake.streaming import ingest as streaming
+
+    source, table = tmp_path / "in", str(tmp_path / "lake")
+    source.mkdir()
+    for i in range(4):
+        file = source / f"{i}.csv"
+        file.write_text(f"sensorId,ts,val,unit,its,quality\na,2024-01-01 00:00:00,{i},kwh,2024-01-01 00:00:00,\ns{i},2024-02-01 00:00:00,1,kwh,2024-02-01 00:00:00,\n,2024-02-01 00:00:00,{i},kwh,2024-02-01 00:00:00,\n")
+        os.utime(file, (1_700_000_000 + i, 1_700_000_000 + i))
+    merges, plain = [], lake.upsert
+    monkeypatch.setattr(lake, "upsert", lambda *a, **k: merges.append(1) or plain(*a, **k))
+
+    def drain():
+        return streaming.lake_rows(spark, str(source), table, str(tmp_path / "cp"), max_files=1)
+
+    settle = lake.settle
+    monkeypatch.setattr(lake, "settle", lambda *a: 0)  # a drain that breaks off before its merge
+    drain()
+    assert not merges
+    monkeypatch.setattr(lake, "settle", settle)
+    drain()  # finds no file, and finishes the other
+    assert len(merges) == 1
+    rows = {(r["sensorId"], r["val"]) for r in spark.read.parquet(table).collect()}
+    assert rows == {("a", 3.0), ("s0", 1.0), ("s1", 1.0), ("s2", 1.0), ("s3", 1.0)}
+    assert spark.read.parquet(f"{table}_rejected").count() == 4
+    assert drain().recentProgress is not None and len(merges) == 1 and not os.path.exists(f"{table}_pending")
