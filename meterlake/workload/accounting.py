@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from meterlake.functions.identifiers import supported_suffix
 from meterlake.operators import outcome, resolve
 from meterlake.plans.ingest import ingest_files, ingest_lines
-from meterlake.schemas import conform
+from meterlake.schemas import COUNTED, EACH, FILLED, conform
 from meterlake.session import scratch_dir, staged
 from meterlake.sources import nem12
 from meterlake.sources.mapping import read_mapping, whitelist, write_mapping
@@ -76,12 +76,12 @@ SUFFIX_SQL = f"""WITH {METER_SQL}
 SELECT suffix, count(*) FILTER ({SUPPORTED_SQL}) AS supported, count(*) AS rows FROM m GROUP BY suffix"""
 
 
-def _resolved(spark, sf):
-    return nem12.parse_lines(nem12_lines(spark, sf), meter_map(spark, sf))
+def _resolved(spark, sf, blanks=EACH):
+    return nem12.parse_lines(nem12_lines(spark, sf), meter_map(spark, sf), blanks)
 
 
 def _outcomes(spark, sf):
-    resolved = _resolved(spark, sf)
+    resolved = _resolved(spark, sf, COUNTED)
     files = meter_events(spark, sf).select("file").distinct()
     return outcome.file_outcomes(
         outcome.file_counts(resolved),
@@ -211,7 +211,7 @@ KINDS_SQL = f"""WITH u AS ({UNMAPPED_SQL}) SELECT file, 'nem12_nmi' AS kind, cou
 
 
 def load_summary(spark, sf):
-    return outcome.load_summary(_resolved(spark, sf))
+    return outcome.load_summary(_resolved(spark, sf, FILLED))
 
 
 SUMMARY_SQL = f"""WITH {METER_SQL}, {MAP_SQL},

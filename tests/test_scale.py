@@ -103,3 +103,68 @@ def test_batches_of_a_drain_are_merged_once(spark, tmp_path, monkeypatch):
     assert rows == {("a", 3.0), ("s0", 1.0), ("s1", 1.0), ("s2", 1.0), ("s3", 1.0)}
     assert spark.read.parquet(f"{table}_rejected").count() == 4
     assert drain().recentProgress is not None and len(merges) == 1 and not os.path.exists(f"{table}_pending")
+
+
+def test_empty_cells_are_counted_or_left_out(spark):
+    from meterlake.operators import outcome
+    from meterlake.schemas import COUNTED, FILLED
+    from meterlake.sources import nem12
+
+    rows = [",1,, ,x,", "1,2,3,4,5,6", ",,,,,", "7,,,,,", ",,,,,8"]
+    text = ["100,NEM12,202402010000,A,B", "300,20240101,1,2,A"]  # a day without a meter
+    for suffix in ("E1", "X9"):
+        text += [f"200,N1,E1,1,{suffix},N1,S,kWh,240,", *[f"300,2024010{i + 1},{r},A,,,," for i, r in enumerate(rows)], "300,20240109,1,A"]
+    lines = spark.createDataFrame([("f.csv", 0, i, x) for i, x in enumerate(text)], "file string, split long, pos long, line string")
+    each, counted = nem12.parse_lines(lines), nem12.parse_lines(lines, blanks=COUNTED)
+    assert each.count() == 63 == counted.agg(F.sum("cells")).first()[0] and counted.count() < 40
+    reach = [F.min("t_start"), F.max("t_end"), F.count("val")]
+    by = ["file", "suffix", "column", F.to_date("t_start"), "skip_reason"]
+    want = sorted(map(str, each.groupBy(*by).agg(F.count("*").alias("n"), *reach).collect()))
+    assert sorted(map(str, counted.groupBy(*by).agg(F.sum("cells").alias("n"), *reach).collect())) == want
+    filled = nem12.parse_lines(lines, blanks=FILLED)
+    usable = F.col("val").isNotNull()
+    assert sorted(map(str, filled.filter(usable).collect())) == sorted(map(str, each.filter(usable).collect()))
+    assert filled.filter("trim(raw_val) = ''").count() == 2  # a blank is a text
+    none = F.lit(None).cast("string")
+    resolve = lambda r: outcome.file_counts(r.withColumn("sensor_id", none)).drop("file").collect()
+    assert resolve(each) == resolve(counted)
+
+
+@pytest.mark.parametrize("limit", [1, 5, 7, 100])
+def test_samples_need_few_records(spark, mapping, limit):
+    from meterlake.operators import outcome
+    from meterlake.schemas import COUNTED
+    from meterlake.sources import classify
+
+    text = ["200,N1,E1,1,E1,N1,S,kWh,240,", *[f"300,202401{i:02d},1,,x,,5,6,A,,,," for i in range(1, 29)]]
+    lines = spark.createDataFrame([(f, 0, i, x) for f in "ab" for i, x in enumerate(text)], "file string, split long, pos long, line string")
+    records = classify.nem_records("nem", lines, mapping(**{"N1-E1": "p:1"}))
+    few = outcome.sampled(records, classify.nem_readings("nem", records, COUNTED), limit)
+    assert few.count() <= 2 * limit
+    taken = lambda r: sorted(map(str, outcome.skip_samples(classify.nem_readings("nem", r), limit).collect()))
+    assert taken(few) == taken(records)
+
+
+def test_days_are_made_once_for_themselves_and_their_context(spark, threshold):
+    from meterlake.workload import accounting, meter_files
+
+    for query in (meter_files.nem12_event_overlay, accounting.run_metrics):
+        df = query(spark, "/root/testdata/sf0.001")
+        df.collect()
+        assert "ReusedExchange" in plan_of(df).split("Initial Plan")[0]
+
+
+def test_meter_records_are_not_spread_before_they_are_written(spark, tmp_path, mapping, monkeypatch):
+    from meterlake.plans import ingest
+
+    record = ["250", "N1", "11", "1", "E1", "N1", "S", "E", "1", "20240101000000", "A", "", "", "5", "20240104000000", "A", "", "", "6", "kWh", "", "", ""]
+    (tmp_path / "r.csv").write_text("100,NEM13,202401010000,A,B\n" + ",".join(record) + "\n900\n")
+    day = ",".join(["", "4", *[""] * 46])
+    (tmp_path / "m.csv").write_text(f"100,NEM12,202401010000,A,B\n200,N1,E1,1,E1,N1,S,kWh,30,\n300,20240101,{day},A,,,,\n900\n")
+    written, plain = {}, ingest.staged
+    monkeypatch.setattr(ingest, "staged", lambda df, name: written.setdefault(name, []).append(plain(df, name)) or written[name][-1])
+    done = ingest.ingest_files(spark, [str(tmp_path)], mapping(**{"N1-E1": "p:n1"}))
+    assert sorted(df.count() for df in written["records"]) == [1, 1]
+    assert done.resolved.count() == 51 and done.rows().count() == 4 and done.samples.count() == 47
+    got = {r["file"].split("/")[-1]: (r["candidate_row_count"], r["rows_written"], r["rows_skipped"]) for r in done.outcomes.collect()}
+    assert got == {"r.csv": (3, 3, 0), "m.csv": (1, 1, 47)}
