@@ -168,3 +168,33 @@ def test_meter_records_are_not_spread_before_they_are_written(spark, tmp_path, m
     assert done.resolved.count() == 51 and done.rows().count() == 4 and done.samples.count() == 47
     got = {r["file"].split("/")[-1]: (r["candidate_row_count"], r["rows_written"], r["rows_skipped"]) for r in done.outcomes.collect()}
     assert got == {"r.csv": (3, 3, 0), "m.csv": (1, 1, 47)}
+
+
+def test_heads_do_not_move_the_lines_of_a_file(spark):
+    from meterlake.sources.lines import heads
+
+    many = [("a", 0, i, "x" * (i % 3)) for i in range(3000)] + [("b", 0, 7 * i << 20, "y") for i in range(12)] + [("b", 1, 3, "late")]
+    nul = lambda f, at, n, wide: [(f, 0, i, "\x00" if i == at else "z" * wide) for i in range(n)]
+    late = nul("in", 2047, 4000, 1) + nul("out", 2048, 4000, 1) + nul("small", 1100, 1201, 0)
+    lost = [("lost", 0, 0, None), *[("gap", 0, i, None if i == 4999 else "") for i in range(6000)]]
+    rows = [*many, *late, *lost, ("one", 0, 5, "\x00")]
+    got = heads(spark.createDataFrame(rows[::-1], "file string, split long, pos long, line string"))
+    found = {r["file"]: r for r in got.collect()}
+    for name, row in found.items():
+        first = sorted((p, x) for f, s, p, x in rows if f == name and s == 0)[:10] if name != "lost" else [(0, None)]
+        assert [*zip(row["head_pos"], row["head"], strict=True)] == first
+    assert {f for f, r in found.items() if r["has_nul"]} == {"in", "small", "one"}
+    assert {f for f, r in found.items() if r["unreadable"]} == {"lost"}
+    assert len(found) == 8
+    plain = heads(spark.range(40000).select(F.lit("f").alias("file"), F.lit(0).cast("long").alias("split"), F.col("id").alias("pos"), F.lit("x").alias("line")))
+    assert "scalar-subquery" in plain._jdf.queryExecution().optimizedPlan().toString() and plain.first()["head_pos"] == list(range(10))
+
+
+def test_pieces_of_a_reading_add_up(spark):
+    from meterlake.operators import series
+
+    df = spark.sql("""SELECT * FROM VALUES (TIMESTAMP_NTZ'2024-01-01 10:00:00.5', TIMESTAMP_NTZ'2024-01-04 02:00:00.25', 64.0D),
+      (TIMESTAMP_NTZ'2024-01-01', TIMESTAMP_NTZ'2024-01-03', 4.0D), (TIMESTAMP_NTZ'2024-01-01 05:00:00', TIMESTAMP_NTZ'2024-01-02 05:00:00', 3.0D) AS t(t_start, t_end, val)""")
+    got = sorted((str(r["t_start"]), r["val"]) for r in series.split_days(df).collect())
+    assert got == [("2024-01-01 00:00:00", 2.0), ("2024-01-01 05:00:00", 3.0), ("2024-01-01 10:00:00.500000", 14.0), ("2024-01-02 00:00:00", 2.0), ("2024-01-02 00:00:00", 24.0), ("2024-01-03 00:00:00", 24.0), ("2024-01-04 00:00:00", 2.0)]
+    assert sorted(r[0] for r in df.select(series.pieces()).collect()) == [1, 2, 4]
