@@ -198,3 +198,27 @@ def test_pieces_of_a_reading_add_up(spark):
     got = sorted((str(r["t_start"]), r["val"]) for r in series.split_days(df).collect())
     assert got == [("2024-01-01 00:00:00", 2.0), ("2024-01-01 05:00:00", 3.0), ("2024-01-01 10:00:00.500000", 14.0), ("2024-01-02 00:00:00", 2.0), ("2024-01-02 00:00:00", 24.0), ("2024-01-03 00:00:00", 24.0), ("2024-01-04 00:00:00", 2.0)]
     assert sorted(r[0] for r in df.select(series.pieces()).collect()) == [1, 2, 4]
+
+
+def test_a_run_goes_over_its_cells_twice(spark, tmp_path, mapping, monkeypatch):
+    """Once for the counts and once for the rows; what nobody asks for is not planned."""
+    from meterlake.plans import ingest
+    from meterlake.sources import nem12
+
+    values = ",".join(["", "7", *[""] * 46])
+    (tmp_path / "a.csv").write_text(f"100,NEM12,202402010000,A,B\n200,N1,E1,1,E1,N1,S,kWh,30,\n300,20240101,{values},A,,,,\n200,N2,E1,1,E1,N1,S,kWh,30,\n300,20240101,{values},A,,,,\n900\n")
+    (tmp_path / "empty.csv").write_text("100,NEM12,202402010000,A,B\n900\n")
+    asked, plain = [], nem12.expand_days
+    monkeypatch.setattr(nem12, "expand_days", lambda days, *a, **k: asked.append(a) or plain(days, *a, **k))
+    outcomes = ingest.run(spark, [str(tmp_path / n) for n in ("a.csv", "empty.csv")], mapping(**{"N1-E1": "p:1"}), str(tmp_path / "lake"))
+    got = {r["file"].split("/")[-1]: (r["status"], r["rows_written"], r["unmapped_count"], r["rows_skipped"]) for r in outcomes.collect()}
+    assert got == {"a.csv": ("processed", 1, 1, 94), "empty.csv": ("processed_empty", 0, 0, 0)}
+    assert [r["sensorId"] for r in spark.read.parquet(str(tmp_path / "lake")).collect()] == ["p:1"]
+    assert asked == [("counted",), ("filled",)]
+
+
+def test_no_python_worker_for_an_empty_table(spark):
+    from meterlake.plans import ingest
+
+    for empty in (ingest._nothing(spark), ingest._no_lines(spark)):
+        assert "ExistingRDD" not in plan_of(empty) and empty.count() == 0
