@@ -220,3 +220,15 @@ def test_audit_documents_stop_where_rows_do_not(spark, folder, mapping):
     assert outcome.skipped_cells(done.resolved).count() == 288 and done.samples.count() == 100
     (doc,) = [json.loads(r["value"]) for r in done.audit().collect()]
     assert len(doc["skipped_samples"]) == 101 and doc["skipped_samples"][-1] == {"truncated": True, "total_skipped": 288}
+
+
+def test_files_are_written_by_all_tasks_and_replaced(spark, folder):
+    from meterlake.workload.changes import put_files
+
+    text = spark.range(0, 40, 1, 4).select(F.concat(F.lit("a,"), "id").alias("text"))
+    put_files(spark, text, str(folder / "in"), "part-1")
+    put_files(spark, text, str(folder / "in"), "part-11")
+    assert len(list((folder / "in").glob("part-1-*.csv"))) == 4
+    put_files(spark, text.coalesce(2).select(F.replace("text", F.lit("a,"), F.lit("b,")).alias("text")), str(folder / "in"), "part-1")
+    assert len(list((folder / "in").glob("part-1-*.csv"))) == 2 and len(list((folder / "in").glob("part-11-*.csv"))) == 4
+    assert sorted(r["value"] for r in spark.read.text(str(folder / "in")).collect()) == sorted(f"{x},{i}" for x in "ab" for i in range(40))
