@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from meterlake.operators import series
 from meterlake.sources import nem12, nem13
 from meterlake.sources.lines import heads, numbered, read_lines, read_zipped_lines
+from meterlake.workload import meter_files
 
 KEYS = ["nmi", "suffix", "t_start", "val", "quality", "event_code", "event_desc"]
 
@@ -247,3 +248,29 @@ def test_a_replayed_batch_replaces_its_audit_documents(spark, folder):
     for batch in ("1", "2", "1"):
         write_audit(documents, str(folder / "audit"), batch)
     assert spark.read.text(str(folder / "audit")).count() == 4
+
+
+def test_the_frame_holds_every_interval_with_its_event(spark, folder):
+    """Empty intervals are rows too; of overlapping 400 records the later one counts."""
+    at = dt.datetime(2024, 1, 5)
+    events = [  # channel E1 of a meter with 30 minutes, then one day of its B1
+        (5, at.replace(minute=10), 2, "error", 1.5),
+        (10, at.replace(minute=40), 2, "signup", 2.5),
+        (15, at.replace(hour=23, minute=45), 2, "error", None),
+        (20, at.replace(hour=12), 2, "click", 7.0),
+        (6, at + dt.timedelta(days=1), 2, "click", 3.0),
+    ]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+    spark.createDataFrame(events, schema).write.parquet(str(folder / "events.parquet"))
+    frame = meter_files.reading_frame(spark, str(folder))
+    assert frame.columns == ["nmi", "suffix", "serno", "t_start", "t_end", "value", "quality", "evt_code", "evt_desc"]
+    values = {("E1", 0): 1.5, ("E1", 1): 2.5, ("E1", 24): 7.0, ("B1", 0): 3.0}
+    error, estimate = ("E52", "89", "Metering, suspect"), ("S14", "32", "Estimate")
+    marks = {("E1", 0): error, ("E1", 47): error} | {("E1", slot): estimate for slot in (1, 2, 3)}
+    half = dt.timedelta(minutes=30)
+    want = []
+    for suffix, start in (("E1", at), ("B1", at + dt.timedelta(days=1))):
+        for slot in range(48):
+            begin, key = start + slot * half, (suffix, slot)
+            want.append(("NMI2", suffix, "SER2", begin, begin + half, values.get(key), *marks.get(key, ("A", "", ""))))
+    assert sorted((tuple(r) for r in frame.collect()), key=repr) == sorted(want, key=repr)
